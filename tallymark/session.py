@@ -25,3 +25,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise df in the shared checkpoint folder; survives the loss of any executor."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df with at least as many partitions as there are cores, for work in Python that dwarfs the
+    reading. A scan that already has them - any large table - is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
