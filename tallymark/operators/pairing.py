@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.session import materialise
+
 KEY = ("year", "bucket", "exporter", "importer", "hub", "cmd")
 #: Ids of one numbering bucket: a task numbers at most so many groups.
 BUCKET_BITS = 20
@@ -48,7 +50,7 @@ def matched_groups(grouped: DataFrame) -> DataFrame:
 def number(df: DataFrame, order: str, name: str, bits: int = BUCKET_BITS) -> DataFrame:
     """df with a dense number 1..n in the order of a unique bigint column, without a global sort: rows are
     numbered inside buckets of the column's high bits, and the buckets' sizes are added up."""
-    b = df.withColumn("_b", F.shiftright(order, bits))
+    b = materialise(df.withColumn("_b", F.shiftright(order, bits)))  # read twice: narrow rows, computed once
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     # one row for every 2^20 ids: a million rows for a trillion ids
     before = sizes.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.session import materialise
+
 BINS_PER_DOUBLING = 64
 
 
@@ -24,6 +26,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str]
     by = by or []
     v = F.col(value).cast("double") + F.lit(0.0)
     hist = df.select(*by, v.alias("v")).filter("v is not null and not isnan(v)").groupBy(*by, "v").agg(F.count(F.lit(1)).alias("c")).withColumn("bin", ordered_bin(F.col("v")))
+    hist = materialise(hist)  # counts of values, read twice
     one = by or [F.lit(1)]
     run, whole = Window.partitionBy(*one).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(*one)
     bins = hist.groupBy(*by, "bin").agg(F.sum("c").alias("in_bin"))

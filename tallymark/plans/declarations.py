@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from tallymark.config import Config
 from tallymark.operators import canonical, cascade, concordance, pairing, residual
+from tallymark.session import materialise
 from tallymark.sources import dims
 
 
@@ -31,10 +32,14 @@ class Plan:
     def concordance(self) -> DataFrame:
         return concordance.compose(concordance.normalise_weights(self.edges), self.cfg.canonical_revision)
 
+    @cached_property
+    def best_codes(self) -> DataFrame:
+        """A dimension of a few thousand codes, built once: its chain of joins is no part of later plans."""
+        return materialise(concordance.best_targets(self.concordance, self.cfg.canonical_revision))
+
     @cached_property
     def canonical_codes(self) -> DataFrame:
-        best = concordance.best_targets(self.concordance, self.cfg.canonical_revision)
-        return concordance.canonicalise(self.survivors, best, self.cfg.canonical_revision)
+        return concordance.canonicalise(self.survivors, self.best_codes, self.cfg.canonical_revision)
 
     @cached_property
     def keyed(self) -> DataFrame:

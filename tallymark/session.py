@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared checkpoint folder and read back: computed once, pruned to the
+    columns a reader needs, with sizes the planner knows. For results that several steps use."""
+    spark = df.sparkSession
+    at = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return spark.read.schema(df.schema).parquet(at)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df with at least as many partitions as there are cores, for work in Python that dwarfs the
     reading. A scan that already has them - any large table - is left as it is, without a shuffle."""
