@@ -46,6 +46,10 @@ PACKED_BEFORE = re.compile(r"\b(packed|packing|per|price|priced|value|bottles?|d
 PACKED_AFTER = re.compile(r"^[\s.]*(bags?|boxes|cartons?|drums?|bottles?|containers?|sacks?|crates?|cases?|each|apart|agreed|per|long|wide|thick|parts?)\b")
 
 
+#: Limits of clauses; a comma inside a number is none.
+_CLAUSE = re.compile(r"[;()]|,(?!\d)")
+
+
 def normalise(text: str) -> str:
     """Case folded, blanks collapsed, outer blanks removed."""
     return " ".join(text.lower().split())
@@ -114,11 +118,9 @@ def unit_in_text(text: str, qty: float | None = None) -> str | None:
         depth -= c == ")" and depth > 0
     best = None
     for start, end, name, code in matches(t):
-        if inside[start]:
+        if inside[start] or re.match(r"\s*[:=]", t[end:]):  # a label, as in "unit: kg"
             continue
-        clause = max(t.rfind(c, 0, start) for c in ";()")
-        comma = re.search(r",(?!\d)[^,]*$", t[:start])
-        before = t[max(clause + 1, comma.start() + 1 if comma else 0) : start]
+        before = _CLAUSE.split(t[:start])[-1]
         if PACKED_BEFORE.search(before) or PACKED_AFTER.match(t[end:]):
             continue
         number = re.match(r"(\d+) ", name)

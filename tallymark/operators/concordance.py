@@ -65,12 +65,11 @@ def compose(edges: DataFrame, target: str) -> DataFrame:
     codes = edges.select(F.col("from_rev").alias("rev"), F.col("from_code").alias("code")).unionByName(edges.select(F.col("to_rev").alias("rev"), F.col("to_code").alias("code"))).distinct()
     older = codes.filter(F.col("rev").isin(*REVISIONS[:at])) if at else codes.filter(F.lit(False))
     done = None
-    for start in range(at):
-        front = codes.filter(F.col("rev") == REVISIONS[start]).select(F.col("rev").alias("from_revision"), F.col("code").alias("from_code"), F.col("code").alias("here"), F.lit(1.0).alias("weight"))
-        for hop in range(start, at):
-            step = edges.filter((F.col("from_rev") == REVISIONS[hop]) & (F.col("to_rev") == REVISIONS[hop + 1])).select(F.col("from_code").alias("here"), F.col("to_code").alias("next"), F.col("weight").alias("w"))
-            front = front.join(step, "here").groupBy("from_revision", "from_code", F.col("next").alias("here")).agg(F.sum(F.col("weight") * F.col("w")).alias("weight"))
-        done = front if done is None else done.unionByName(front)
+    for hop in range(at):  # codes of every older revision move up together
+        front = codes.filter(F.col("rev") == REVISIONS[hop]).select(F.col("rev").alias("from_revision"), F.col("code").alias("from_code"), F.col("code").alias("here"), F.lit(1.0).alias("weight"))
+        front = front if done is None else done.unionByName(front)
+        step = edges.filter((F.col("from_rev") == REVISIONS[hop]) & (F.col("to_rev") == REVISIONS[hop + 1])).select(F.col("from_code").alias("here"), F.col("to_code").alias("next"), F.col("weight").alias("w"))
+        done = front.join(step, "here").groupBy("from_revision", "from_code", F.col("next").alias("here")).agg(F.sum(F.col("weight") * F.col("w")).alias("weight"))
     out = ("from_revision", "from_code", "to_revision", "to_code", "weight", "note")
     own = lambda df: df.select(F.col("rev").alias("from_revision"), F.col("code").alias("from_code"), F.lit(target).alias("to_revision"), F.col("code").alias("to_code"), F.lit(1.0).alias("weight"), F.lit("identity").alias("note"))
     same = own(codes.filter(F.col("rev").isin(*REVISIONS[at:])))

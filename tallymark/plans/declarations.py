@@ -30,7 +30,7 @@ class Plan:
 
     @cached_property
     def concordance(self) -> DataFrame:
-        return concordance.compose(concordance.normalise_weights(self.edges), self.cfg.canonical_revision)
+        return concordance.compose(materialise(concordance.normalise_weights(self.edges)), self.cfg.canonical_revision)
 
     @cached_property
     def best_codes(self) -> DataFrame:
