@@ -65,9 +65,9 @@ class Pipeline:
     def match(self, year: str) -> bool:
         def write() -> None:
             p = self.plan(year)
-            out = p.paired.select("id", "matched_id", *[c for c in KEEP if c in p.paired.columns], hs_level(F.col("cmdCode")).alias("hs_level"), F.lit(year).alias("year"), F.col("matched_id").isNotNull().alias("is_matched"))
+            out = p.paired.select("id", "matched_id", *[c for c in KEEP if c in p.paired.columns], hs_level(F.col("cmdCode")).alias("hs_level"), F.lit(year).alias("year"), F.col("matched_id").isNotNull().cast("int").alias("is_matched"))
             store.write_partitions(out, self.path("match"), ["year", "is_matched"])
-            matched = store.read(self.spark, self.path("match")).filter((F.col("year") == year) & F.col("is_matched"))
+            matched = store.read(self.spark, self.path("match")).filter((F.col("year") == year) & (F.col("is_matched") == 1))
             store.write_partitions(canonical.clean(matched.drop("is_matched")), self.path("clean"), ["year"])
             write_json(os.path.join(self.root, "stats", f"clean_{year}.json"), store.stats_document(canonical.coverage(canonical.dominant(matched))))
 

@@ -25,10 +25,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """A finished dataset: its commit mark is there."""
+    """A dataset that holds something committed (replacing partitions leaves no mark of its own)."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(not e.getPath().getName().startswith((".", "_temporary")) for e in fs.listStatus(p))
 
 
 def first_existing(spark: SparkSession, paths: list[str]) -> str | None:
@@ -42,7 +43,7 @@ def write_text(df: DataFrame, path: str, gzip: bool = False) -> None:
 
 def write_concordance(df: DataFrame, path: str) -> None:
     """Sorted text, weights with four decimals."""
-    cols = [F.format_number("weight", "0.0000").alias("weight") if c == "weight" else F.col(c) for c in df.columns]
+    cols = [F.format_string("%.4f", F.col("weight")).alias("weight") if c == "weight" else F.col(c) for c in df.columns]
     df.orderBy("from_revision", "from_code", "to_code").select(*cols).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
