@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import REVISIONS
 from tallymark.functions.codes import VINTAGES, hs_level, normalise_code
+from tallymark.session import materialise
 
 EDGE = ("from_rev", "from_code", "to_rev", "to_code")
 
@@ -63,9 +64,14 @@ def compose(edges: DataFrame, target: str) -> DataFrame:
     reach the target, the target's own codes and those of newer revisions stand for themselves."""
     at = REVISIONS.index(target)
     codes = edges.select(F.col("from_rev").alias("rev"), F.col("from_code").alias("code")).unionByName(edges.select(F.col("to_rev").alias("rev"), F.col("to_code").alias("code"))).distinct()
+    codes = materialise(codes)  # a few thousand codes, read for each hop
     older = codes.filter(F.col("rev").isin(*REVISIONS[:at])) if at else codes.filter(F.lit(False))
     done = None
+    steps = {(r[0], r[1]) for r in edges.select("from_rev", "to_rev").distinct().filter(F.col("from_rev").isin(*REVISIONS) & F.col("to_rev").isin(*REVISIONS)).collect()}  # at most 49
     for hop in range(at):  # codes of every older revision move up together
+        if (REVISIONS[hop], REVISIONS[hop + 1]) not in steps:
+            done = None  # no table for this step: nothing passes it
+            continue
         front = codes.filter(F.col("rev") == REVISIONS[hop]).select(F.col("rev").alias("from_revision"), F.col("code").alias("from_code"), F.col("code").alias("here"), F.lit(1.0).alias("weight"))
         front = front if done is None else done.unionByName(front)
         step = edges.filter((F.col("from_rev") == REVISIONS[hop]) & (F.col("to_rev") == REVISIONS[hop + 1])).select(F.col("from_code").alias("here"), F.col("to_code").alias("next"), F.col("weight").alias("w"))
@@ -75,6 +81,7 @@ def compose(edges: DataFrame, target: str) -> DataFrame:
     same = own(codes.filter(F.col("rev").isin(*REVISIONS[at:])))
     if done is None:
         return same.select(*out)
+    done = materialise(done)
     reached = done.select(F.col("from_revision").alias("rev"), F.col("from_code").alias("code")).distinct()
     composed = done.select("from_revision", "from_code", F.lit(target).alias("to_revision"), F.col("here").alias("to_code"), "weight", F.lit("").alias("note"))
     return composed.unionByName(own(older.join(reached, ["rev", "code"], "left_anti"))).unionByName(same).select(*out)

@@ -25,7 +25,8 @@ def query(f):
 
 def plan(spark: SparkSession, d: str, cfg: Config = CFG) -> Plan:
     t = table(spark, d, "declarations")
-    return Plan(t, revision_edges(t), cfg, table(spark, d, "cif_fob_factor"), table(spark, d, "qty_unit_conversion"), table(spark, d, "entrepot_reporters"), table(spark, d, "reporter_codes"))
+    names = {"factors": "cif_fob_factor", "conversion": "qty_unit_conversion", "entrepots": "entrepot_reporters", "reporters": "reporter_codes"}
+    return Plan(t, cfg, lambda n: revision_edges(t) if n == "edges" else table(spark, d, names[n]))
 
 
 # Scans, projections, filters
@@ -77,20 +78,20 @@ def filter_key_normalise(spark, d):
 @query
 def scope_semijoin(spark, d):
     p = plan(spark, d)
-    targets = dims.reporters(p.reporters).filter("continent = 'Ilmora'")
+    targets = p.reporters.filter("continent = 'Ilmora'")
     return cascade.in_scope(p.declarations, targets).groupBy("reporterCode").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def scope_missing_anti(spark, d):
     p = plan(spark, d)
-    return cascade.missing_reporters(p.survivors, dims.reporters(p.reporters))
+    return cascade.missing_reporters(p.survivors, p.reporters)
 
 
 @query
 def reporters_present(spark, d):
     p = plan(spark, d)
-    return dims.with_names(p.survivors.select("reporterCode").distinct(), dims.reporters(p.reporters), "reporterCode", "name")
+    return dims.with_names(p.survivors.select("reporterCode").distinct(), p.reporters, "reporterCode", "name")
 
 
 @query
@@ -261,7 +262,7 @@ def side_sums(spark, d):
 def side_first(spark, d):
     """Over all matched rows, where a side has several."""
     p = plan(spark, d)
-    up = residual.with_uplift(p.matched, dims.uplift_factors(p.factors))
+    up = residual.with_uplift(p.matched, p.factors)
     return residual.side_sums(up).select("matched_id", "qtyUnitCode_X", "qtyUnitCode_M", "altQtyUnitCode_X", "altQtyUnitCode_M", "exporterCode", "importerCode", "cmdCode", "imputed_x", "imputed_m")
 
 
@@ -294,16 +295,16 @@ def discrepancies(spark, d):
 @query
 def entrepot_pairs(spark, d):
     p = plan(spark, d)
-    return residual.with_entrepot(p.residuals, dims.entrepots(p.entrepots)).select("matched_id", "is_entrepot_pair")
+    return residual.with_entrepot(p.residuals, p.entrepots).select("matched_id", "is_entrepot_pair")
 
 
 @query
 def mode_counts(spark, d):
     p = plan(spark, d)
-    return residual.mode_counts(p.matched, dims.uplift_factors(p.factors))
+    return residual.mode_counts(p.matched, p.factors)
 
 
 @query
 def pair_counters(spark, d):
     p = plan(spark, d)
-    return residual.pair_counters(p.uplifted, dims.conversions(p.conversion), dims.entrepots(p.entrepots))
+    return residual.pair_counters(p.uplifted, p.conversion, p.entrepots)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -13,15 +13,32 @@ from tallymark.session import materialise
 from tallymark.sources import dims
 
 
-@dataclass
 class Plan:
-    declarations: DataFrame
-    edges: DataFrame | None
-    cfg: Config
-    factors: DataFrame | None = None
-    conversion: DataFrame | None = None
-    entrepots: DataFrame | None = None
-    reporters: DataFrame | None = None
+    """tables(name) gives a dimension table when a step first needs it: factors, conversion, entrepots,
+    reporters, and edges (None: codes are only normalised, not carried to another revision)."""
+
+    def __init__(self, declarations: DataFrame, cfg: Config, tables: Callable[[str], DataFrame | None]):
+        self.declarations, self.cfg, self._tables = declarations, cfg, tables
+
+    @cached_property
+    def edges(self) -> DataFrame | None:
+        return self._tables("edges")
+
+    @cached_property
+    def factors(self) -> DataFrame:
+        return dims.uplift_factors(self._tables("factors"))
+
+    @cached_property
+    def conversion(self) -> DataFrame:
+        return dims.conversions(self._tables("conversion"))
+
+    @cached_property
+    def entrepots(self) -> DataFrame:
+        return dims.entrepots(self._tables("entrepots"))
+
+    @cached_property
+    def reporters(self) -> DataFrame:
+        return dims.reporters(self._tables("reporters"))
 
     @cached_property
     def survivors(self) -> DataFrame:
@@ -71,8 +88,8 @@ class Plan:
 
     @cached_property
     def uplifted(self) -> DataFrame:
-        return residual.with_uplift(self.clean, dims.uplift_factors(self.factors), self.cfg.default_uplift)
+        return residual.with_uplift(self.clean, self.factors, self.cfg.default_uplift)
 
     @cached_property
     def residuals(self) -> DataFrame:
-        return residual.residuals(self.uplifted, dims.conversions(self.conversion))
+        return residual.residuals(self.uplifted, self.conversion)

@@ -60,7 +60,7 @@ class Pipeline:
         decl = store.read(self.spark, self.path("aggregate")).filter(F.col("year") == year).drop("year")
         for c, v in (("typeCode", "C"), ("freqCode", "A"), ("classificationSearchCode", "HS")):  # settled by the first phase
             decl = decl.withColumn(c, F.lit(v))
-        return Plan(decl, self.edges, replace(self.cfg, years=(year,)), **{k: self.dims[k] for k in ("factors", "conversion", "entrepots", "reporters")})
+        return Plan(decl, replace(self.cfg, years=(year,)), lambda n: self.edges if n == "edges" else self.dims[n])
 
     def match(self, year: str) -> bool:
         def write() -> None:
