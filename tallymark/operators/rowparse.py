@@ -8,7 +8,7 @@ over `salts` tasks.
 Defined cases: a null line is an empty record; a file without a line 1 has no columns, so that its
 records have the wrong column count; a file with several rows of line 1 uses the lowest raw_id; a
 check whose column the file does not have is left out; very long lines are parsed whole (the cheapest
-parse takes time in proportion to characters times separators); repeated records come out each.
+parse takes time in proportion to quotes and separators); repeated records come out each.
 """
 
 from __future__ import annotations

@@ -62,4 +62,12 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
     return _profile(spark, d)["values"]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p5_found, p5_rows, p6_found, p6_discrimination, p6_values)}
+def p6_profile(spark: SparkSession, d: str) -> DataFrame:
+    return profile.column_profile(table(spark, d, "declarations"))
+
+
+def p6_nulls(spark: SparkSession, d: str) -> DataFrame:
+    return p6_profile(spark, d).select("load_no", "column_name", "rows", "nulls", "low", "high").filter("column_name in ('CIFValue', 'FOBValue', 'motCode', 'netWgt', 'refYear')")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p5_found, p5_rows, p6_found, p6_profile, p6_nulls, p6_discrimination, p6_values)}

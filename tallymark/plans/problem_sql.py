@@ -122,3 +122,9 @@ SQL["p6_values"] = " UNION ALL ".join(
     f"SELECT load_no, '{c}' AS column_name, CAST(COUNT({c}) AS BIGINT) AS n, COUNT(DISTINCT {c}) AS distinct_n, MEDIAN({c}) AS median FROM declarations GROUP BY load_no HAVING COUNT({c}) > 0"
     for c in ("CIFValue", "FOBValue")
 )
+
+_RANGE = {c: f"MIN({c}) FILTER (WHERE isfinite({c})) AS low, MAX({c}) FILTER (WHERE isfinite({c})) AS high" for c in ("CIFValue", "FOBValue", "netWgt")}
+SQL["p6_nulls"] = " UNION ALL ".join(
+    f"SELECT load_no, '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, {_RANGE.get(c, 'CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high')} FROM declarations GROUP BY load_no"
+    for c in ("CIFValue", "FOBValue", "motCode", "netWgt", "refYear")
+)

@@ -34,6 +34,8 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     at = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(at)
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(at)
 
 

@@ -39,3 +39,9 @@ def entrepots(raw: DataFrame) -> DataFrame:
 def with_names(df: DataFrame, dim: DataFrame, code: str, out: str) -> DataFrame:
     """df with the display name of a code; Unknown if it has none."""
     return df.join(dim.select(F.col("iso_code").alias("_c"), F.col("name").alias("_n")), F.col(code) == F.col("_c"), "left").withColumn(out, F.coalesce("_n", F.lit("Unknown"))).drop("_c", "_n")
+
+
+def resolve_targets(raw: DataFrame, codes: list[int]) -> tuple[list[int], list[int]]:
+    """(known, unknown) of the asked reporter codes."""
+    known = {r.iso_code for r in reporters(raw).filter(F.col("iso_code").isin(codes)).select("iso_code").collect()}
+    return sorted(known), sorted(set(codes) - known)

@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymark.sources.manifest import Manifest
 from tallymark.sources.raw import index_files, sweep_corrupt
@@ -47,3 +48,9 @@ def retrieve(spark: SparkSession, fetch, codes: Iterable[int], years: Iterable[s
             if manifest:
                 manifest.drop("in_flight")
     return spark.createDataFrame(rows, "year string, reporterCode int, status string")
+
+
+def summary(status: DataFrame) -> DataFrame:
+    """(year, expected, cached, downloaded, missing, missing_reporters): the codes of a year are a bounded dimension."""
+    n = lambda v: F.count_if(F.col("status") == v).alias(v)
+    return status.groupBy("year").agg(F.count(F.lit(1)).alias("expected"), n("cached"), n("downloaded"), n("missing"), F.sort_array(F.collect_list(F.when(F.col("status") == "missing", F.col("reporterCode")))).alias("missing_reporters"))

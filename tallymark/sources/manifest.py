@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import tempfile
@@ -69,6 +70,18 @@ class Manifest:
         return len(old)
 
 
+def quick_hash(path: str, part: int = 1 << 20) -> str:
+    """Digest of a file's size and its first and last part: reads two parts, however large the file."""
+    size = os.path.getsize(path)
+    h = hashlib.sha256(str(size).encode())
+    with open(path, "rb") as f:
+        h.update(f.read(part))
+        if size > part:
+            f.seek(max(part, size - part))
+            h.update(f.read(part))
+    return h.hexdigest()
+
+
 def fingerprint(paths: list[str]) -> list[list]:
-    """(name, size, time) of files, for freshness."""
-    return [[os.path.basename(p), os.path.getsize(p), int(os.path.getmtime(p))] for p in sorted(paths)]
+    """(name, size, digest) of files, for freshness."""
+    return [[os.path.basename(p), os.path.getsize(p), quick_hash(p)] for p in sorted(paths)]

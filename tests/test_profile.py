@@ -2,7 +2,7 @@ import statistics
 
 import numpy as np
 
-from tallymark.operators.profile import profile, profile_findings, two_sample, value_profile
+from tallymark.operators.profile import column_profile, profile, profile_findings, two_sample, value_profile
 from tallymark.operators.quantiles import exact_quantiles
 
 SCHEMA = "id bigint, load_no int, CIFValue double, FOBValue double, motCode string, column_name string, n int, finding int"
@@ -66,3 +66,14 @@ def test_exact_quantiles(spark):
     assert got.n == 779 and np.allclose([got.q0, got.q1, got.q2, got.q3, got.q4], want, rtol=0, atol=1e-12)
     assert exact_quantiles(df, "x", [0.5], ["g"]).count() == 2
     assert exact_quantiles(df.limit(0), "x", [0.5]).count() == 0
+
+
+def test_column_profile(spark):
+    rows = [(i, 0, float(i), None, "ab"[i % 2], "x", 1, 1) for i in range(100)] + [(200, None, float("nan"), float("inf"), None, None, None, None)]
+    got = {(r.load_no, r.column_name): r for r in column_profile(spark.createDataFrame(rows, SCHEMA)).collect()}
+    r = got[0, "CIFValue"]
+    assert (r.rows, r.nulls, r.low, r.high) == (100, 0, 0.0, 99.0) and abs(r.distinct_n - 100) < 20
+    assert got[0, "FOBValue"].null_rate == 1.0 and got[0, "motCode"].distinct_n == 2 and got[0, "motCode"].low is None
+    assert got[None, "CIFValue"].low is None and got[None, "FOBValue"].high is None
+    assert len(got) == 2 * 7
+    assert column_profile(spark.createDataFrame([], SCHEMA)).count() == 0

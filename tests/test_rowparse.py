@@ -74,3 +74,8 @@ def test_operator(spark):
 def test_empty(spark):
     parsed = parse_rows(spark.createDataFrame([], RAW))
     assert rejected_rows(parsed).count() == 0 and typed_rows(parsed).count() == 0
+
+
+def test_very_long_broken_record_takes_linear_time():
+    assert reason_of('a,"b' + ",c" * 200_000, ",", 3) == "quoting"
+    assert reason_of("a,b" * 50_000, ",", 3) == "column_count"

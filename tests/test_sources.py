@@ -7,11 +7,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallymark.cli import main
 from tallymark.config import Config
 from tallymark.plans.pipeline import Pipeline, ordered_phases
 from tallymark.schema import FILTER_ONLY, KEEP
 from tallymark.sources import dims, ingest, raw, store
-from tallymark.sources.manifest import Manifest, fingerprint, read_json, write_json
+from tallymark.sources.manifest import Manifest, fingerprint, quick_hash, read_json, write_json
 from tallymark.streaming.incremental import arrivals_by_load, load_new
 from tests.conftest import DATA
 from tests.test_reconcile import GOOD, M, units, factors
@@ -115,6 +116,7 @@ def test_retrieve(spark, tmp_path):
     gz(tmp_path / "2021" / "CA12021H6.gz", ["a"])
     got = ingest.retrieve(spark, fetch, [1, 2, 3, 4], ["2021"], str(tmp_path), Manifest(str(tmp_path / "m.json")), sleep=pauses.append)
     assert {(r.reporterCode, r.status) for r in got.collect()} == {(1, "cached"), (2, "downloaded"), (3, "missing"), (4, "missing")}
+    assert tuple(ingest.summary(got).first()) == ("2021", 4, 1, 1, 2, [3, 4])
     assert calls == [2, 2, 2, 3, 4] and pauses == [1.0, 2.0, 0.1, 0.1, 0.1]
 
 
@@ -168,3 +170,24 @@ def test_arrivals_have_a_watermark(spark, tmp_path):
     q = s.writeStream.format("memory").queryName("arrivals").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("arrivals").agg(F.sum("n")).first()[0] == t.filter("loaded_at is not null").count()
+
+
+def test_command_line(spark, files, tmp_path):
+    out = tmp_path / "conc"
+    (tmp_path / "src").mkdir()
+    build = ["concordance", "--src", str(tmp_path / "src"), "--target", "H6", "--output", str(out)]
+    assert main(build, spark) == 2 and not out.exists()
+    (tmp_path / "src" / "HS2017_HS2022.csv").write_text("HS 2017,HS 2022\n010110,010111\n")
+    assert main(build, spark) == 0
+    assert {(r.from_code, r.to_code, r.weight) for r in spark.read.csv(str(out), header=True).filter("from_revision = 'H5'").collect()} == {("010110", "010111", "1.0000")}
+    run = ["run", "--root", str(tmp_path), "--dims", DATA, "--years", "2021", "--phases"]
+    assert main([*run, "aggregate", "match"], spark) == 0
+    assert main([*run, "nonsense"], spark) == 1
+    assert main([*run, "match", "--reporters", "999999"], spark) == 2
+
+
+def test_quick_hash(tmp_path):
+    a, b = tmp_path / "a", tmp_path / "b"
+    a.write_bytes(b"x" * 50 + b"y")
+    b.write_bytes(b"x" * 50 + b"z")
+    assert quick_hash(str(a), 8) != quick_hash(str(b), 8) == quick_hash(str(b), 8)
