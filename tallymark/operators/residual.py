@@ -15,8 +15,10 @@ from tallymark.operators.quantiles import exact_quantiles
 from tallymark.schema import amount
 
 METRICS = ("netWgt", "primaryValue", "qty", "altQty", "grossWgt")
+# Attributes whose two sides are compared.
 ATTRIBUTES = ("isOriginalClassification", "customsCode", "mosCode", "motCode", "qtyUnitCode", "isQtyEstimated", "altQtyUnitCode", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated", "isReported")
 FLAGS = ("isQtyEstimated", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated", "isReported", "isAggregate", "isOriginalClassification")
+# Names and order of the output columns of a pair.
 COLUMNS = (
     "matched_id", "exporterCode", "importerCode", "cmdCode", "hs_level", "qtyUnitCode_X", "qtyUnitCode_M", "qty_X", "qty_M", "qty_M_in_X_unit", "qty_MISINVOICING", "altQtyUnitCode_X",
     "altQtyUnitCode_M", "altQty_X", "altQty_M", "altQty_M_in_X_unit", "altQty_MISINVOICING", "netWgt_X", "netWgt_M", "netWgt_MISINVOICING", "grossWgt_X", "grossWgt_M", "grossWgt_MISINVOICING",

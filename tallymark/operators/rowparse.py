@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.rowgrammar import repair, split
+from tallymark.session import spread
 
 CMD = re.compile(r"(?=[0-9]*[1-9])[0-9]{1,6}|TOTAL")
 YEAR = re.compile(r"[0-9]{4}")
@@ -83,7 +84,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def parse_rows(raw: DataFrame, salts: int = 16) -> DataFrame:
     """Every record: reasons (empty for valid rows), the edits of its cheapest parse, and the fields of valid rows."""
-    lines = raw.select("raw_id", "file_name", F.col("line_no").cast("int").alias("line_no"), F.coalesce("line", F.lit("")).alias("line"))
+    lines = spread(raw.select("raw_id", "file_name", F.col("line_no").cast("int").alias("line_no"), F.coalesce("line", F.lit("")).alias("line")))
     heads = lines.filter(F.col("line_no") == 1).groupBy("file_name").agg(F.min_by("line", "raw_id").alias("header"))
     heads = heads.select("file_name", "header", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     records = lines.filter(~F.col("line_no").eqNullSafe(F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("raw_id"), F.lit(salts)).cast("int"))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 _KINDS = {"reporterCode": "int", "partnerCode": "int", "partner2Code": "int", "qty": "double", "altQty": "double", "netWgt": "double", "grossWgt": "double", "CIFValue": "double", "FOBValue": "double", "primaryValue": "double"}
 FILTER_ONLY = ("typeCode", "freqCode", "refYear", "classificationSearchCode")
+# Names and order of the columns that are kept.
 KEEP = (
     "reporterCode", "partnerCode", "partner2Code", "flowCode", "classificationCode", "cmdCode", "customsCode", "mosCode", "motCode", "qtyUnitCode", "qty", "altQtyUnitCode", "altQty",
     "netWgt", "grossWgt", "CIFValue", "FOBValue", "primaryValue", "isQtyEstimated", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated", "isReported", "isAggregate",
