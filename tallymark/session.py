@@ -43,4 +43,7 @@ def spread(df: DataFrame) -> DataFrame:
     """df with at least as many partitions as there are cores, for work in Python that dwarfs the
     reading. A scan that already has them - any large table - is left as it is, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+    run = df._jdf.queryExecution()
+    if "AdaptiveSparkPlan" in run.executedPlan().toString():  # after a shuffle; asking would run it
+        return df
+    return df.repartition(cores) if run.toRdd().getNumPartitions() < cores else df
