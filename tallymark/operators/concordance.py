@@ -63,8 +63,9 @@ def compose(edges: DataFrame, target: str) -> DataFrame:
     adjacent revisions and summed over them; at most six hops, each a join on the code. Codes that do not
     reach the target, the target's own codes and those of newer revisions stand for themselves."""
     at = REVISIONS.index(target)
+    edges = edges.coalesce(1)  # code lists are dimensions: in one partition none of the steps has to shuffle
     codes = edges.select(F.col("from_rev").alias("rev"), F.col("from_code").alias("code")).unionByName(edges.select(F.col("to_rev").alias("rev"), F.col("to_code").alias("code"))).distinct()
-    codes = materialise(codes)  # a few thousand codes, read for each hop
+    codes = materialise(codes).coalesce(1)  # a few thousand codes, read for each hop
     older = codes.filter(F.col("rev").isin(*REVISIONS[:at])) if at else codes.filter(F.lit(False))
     done = None
     steps = {(r[0], r[1]) for r in edges.select("from_rev", "to_rev").distinct().filter(F.col("from_rev").isin(*REVISIONS) & F.col("to_rev").isin(*REVISIONS)).collect()}  # at most 49
@@ -81,10 +82,10 @@ def compose(edges: DataFrame, target: str) -> DataFrame:
     same = own(codes.filter(F.col("rev").isin(*REVISIONS[at:])))
     if done is None:
         return same.select(*out)
-    done = materialise(done)
+    done = materialise(done).coalesce(1)
     reached = done.select(F.col("from_revision").alias("rev"), F.col("from_code").alias("code")).distinct()
     composed = done.select("from_revision", "from_code", F.lit(target).alias("to_revision"), F.col("here").alias("to_code"), "weight", F.lit("").alias("note"))
-    return composed.unionByName(own(older.join(reached, ["rev", "code"], "left_anti"))).unionByName(same).select(*out)
+    return composed.unionByName(own(older.join(reached, ["rev", "code"], "left_anti"))).unionByName(same).select(*out).coalesce(1)
 
 
 def build(tables: dict[str, DataFrame], target: str) -> DataFrame:
