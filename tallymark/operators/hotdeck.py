@@ -3,9 +3,10 @@
 1. Records are hash-blocked on observed features (by default good and flow). A block that holds more
    than `block_rows` rows, or more than 1/20,000 of the table, is split evenly by a hash of the
    record id; a shard of such a block still has `block_rows` records to choose donors from.
-2. Inside a block, donors are searched among the neighbours of the record in several orders
-   (reporter-year-value, value, gross weight), k on each side; the mixed (Gower) distance over the
-   features observed on both records ranks them, and the `neighbours` closest are kept.
+2. Inside a block, the `neighbours` closest donors by the mixed (Gower) distance over the features
+   observed on both records are kept. The k donors on each side in several orders (reporter-year-value,
+   value, gross weight, reporter-gross weight) give a first bound; then every donor is looked at that
+   is not farther than the bound by the feature that weighs most alone, so the search is exact.
 3. A numeric field gets the weighted median of the donors' values - always the value of one of
    them, whose id is given; a categorical field gets the weighted majority.
 4. A record whose block has no donor gets the median or majority of its chapter and flow, else of
@@ -30,6 +31,12 @@ from pyspark.sql import functions as F
 
 TRUE_WORDS = ("1", "true", "yes", "t", "y")
 FALSE_WORDS = ("0", "false", "no", "f", "n")
+#: Pairs of records compared at a time.
+PAIRS = 1_000_000
+#: Groups of records stand this far apart on the axis of a search; REACH spans a group (logarithms) and no further.
+SPACING, REACH = 2048.0, 900.0
+#: Added to bounds, far above the rounding of such sums: only exact distances decide.
+SLACK = 1e-4
 RESULT = "id bigint, grp int, field tinyint, fill double, donor_id bigint, distance double"
 
 
@@ -59,38 +66,125 @@ def _nearest(order: np.ndarray, donor: np.ndarray, want: np.ndarray, k: int) ->
     return np.where(ok, donors[np.clip(at, 0, len(donors) - 1)], -1)
 
 
+def _distance(features, r: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Mixed distance of the rows r from the rows d, over the features observed on both."""
+    total = weight = 0.0
+    for kind, column, w in features:
+        a, b = column[r], column[d]
+        if kind == "same":
+            total = total + w * (a != b)
+            weight = weight + w
+        else:
+            x = np.abs(a - b)
+            seen = ~np.isnan(x)
+            total = total + w * np.minimum(np.where(seen, x, 0.0), 1.0)
+            weight = weight + w * seen
+    return total / np.maximum(weight, 1e-12)
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Number of the run of equal values (nulls are equal) that each row of sorted columns is in."""
+    new = np.zeros(len(columns[0]), bool)
+    for c in columns:
+        new[1:] |= (c[1:] != c[:-1]) & ~((c[1:] != c[1:]) & (c[:-1] != c[:-1]))
+    return np.cumsum(new)
+
+
+def _merge(near: np.ndarray, dist: np.ndarray, ids: np.ndarray, r: np.ndarray, d: np.ndarray, x: np.ndarray) -> None:
+    """Take the donors d at distances x into the lists of the recipients r: by distance, then id, each donor once."""
+    rows = np.unique(r)
+    held = near[rows]
+    at, col = np.nonzero(held >= 0)
+    r, d, x = np.r_[rows[at], r], np.r_[held[at, col], d], np.r_[dist[rows][at, col], x]
+    by = np.lexsort((d, ids[d], x, r))
+    r, d, x = r[by], d[by], x[by]
+    once = np.r_[True, (r[1:] != r[:-1]) | (d[1:] != d[:-1])]
+    r, d, x = r[once], d[once], x[once]
+    place = np.arange(len(r)) - np.searchsorted(r, r)
+    top = place < near.shape[1]
+    near[r[top], place[top]], dist[r[top], place[top]] = d[top], x[top]
+
+
+def _search(group, features, ids, donors, want, near, dist, apart: float) -> None:
+    """Take into near and dist every donor of the same group that belongs there.
+
+    Donors and recipients meet by what is observed on them, so that the weights of a meeting are
+    known. Donors stand in order of the feature that weighs most; only those are looked at whose
+    distance by it alone, with `apart` as the weight that is lost anyway, is below the last kept."""
+    near_by = [(c, w) for kind, c, w in features if kind == "near"]
+    same_by = [(c, w) for kind, c, w in features if kind == "same"]
+    names = np.unique(group[np.r_[donors, want]])
+    mask = sum((~np.isnan(c)).astype(np.int64) << j for j, (c, _) in enumerate(near_by)) + np.zeros(len(ids), np.int64)
+    for dp in np.unique(mask[donors]):
+        for rp in np.unique(mask[want]):
+            seen = [(c, w) for j, (c, w) in enumerate(near_by) if (dp & rp) >> j & 1]
+            r = np.flatnonzero(mask[want] == rp)
+            weight = sum(w for _, w in same_by) + sum(w for _, w in seen)
+            left = dist[r, -1] * max(weight, 1e-12) - apart + SLACK
+            r, left = r[left >= 0], left[left >= 0]
+            if not len(r):
+                continue
+            d = donors[mask[donors] == dp]
+            axis, w = max(seen, key=lambda f: f[1]) if seen else (np.zeros(len(ids)), 0.0)
+            d = d[np.lexsort((ids[d], *[c[d] for c, _ in seen], *[c[d] for c, _ in same_by], axis[d], group[d]))]
+            # of donors that are alike in all that counts here, only the first ids can be kept
+            run = _runs(group[d], axis[d], *[c[d] for c, _ in same_by], *[c[d] for c, _ in seen])
+            d = d[np.arange(len(d)) - np.searchsorted(run, run) < near.shape[1]]
+            half = np.where(left < w, left / max(w, 1e-12), REACH)  # a feature counts 1 at most: from w on it tells nothing
+            key = np.searchsorted(names, group[d]) * SPACING + axis[d]
+            at = np.searchsorted(names, group[want[r]]) * SPACING + axis[want[r]]
+            lo, hi = np.searchsorted(key, at - half - SLACK), np.searchsorted(key, at + half + SLACK, side="right")
+            ends = np.cumsum(hi - lo)
+            start = 0
+            while start < len(r):
+                stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + PAIRS, side="right")))
+                n = (hi - lo)[start:stop]
+                which = np.repeat(np.arange(start, stop), n)
+                pick = d[np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + lo[which]]
+                to = r[which]
+                x = _distance(features, want[to], pick)
+                good = x <= dist[to, -1]
+                if good.any():
+                    _merge(near, dist, ids, to[good], pick[good], x[good])
+                start = stop
+
+
+def _neighbours(block, ids, features, orders, donor, want, k, neighbours):
+    """The closest donors of the same block of each wanted row, all donors considered: (rows or -1, distances)."""
+    near = np.full((len(want), neighbours), -1, np.int64)
+    dist = np.full((len(want), neighbours), np.inf)
+    donors = np.flatnonzero(donor)
+    if not len(donors) or not len(want):
+        return near, dist
+    for o in orders:  # a first bound
+        cand = _nearest(o, donor, want, k)
+        at, col = np.nonzero((cand >= 0) & (block[cand] == block[want][:, None]))
+        if len(at):
+            _merge(near, dist, ids, at, cand[at, col], _distance(features, want[at], cand[at, col]))
+    same = next(((c, w) for kind, c, w in features if kind == "same"), None)
+    if same:  # first those that are alike, which leaves little to be looked at among the others
+        by = np.lexsort((same[0], block))
+        group = np.empty(len(block), np.int64)
+        group[by] = _runs(block[by], same[0][by])
+        _search(group, features, ids, donors, want, near, dist, 0.0)
+    _search(block, features, ids, donors, want, near, dist, same[1] if same else 0.0)
+    return near, dist
+
+
 def _fill(block, ids, features, orders, value, categorical, k, neighbours):
     """Rows of one set of whole blocks: (index of recipient, fill, donor id, distance)."""
     donor = ~np.isnan(value)
     want = np.flatnonzero(~donor)
     if not len(want):
         return want, np.empty(0), np.empty(0, np.int64), np.empty(0)
-    cand = np.concatenate([_nearest(o, donor, want, k) for o in orders], axis=1)
-    cand[(cand >= 0) & (block[cand] != block[want][:, None])] = -1
-    # ties go to the lower donor id: candidates by id, then a stable sort by distance
-    cid = np.where(cand >= 0, ids[cand], np.iinfo(np.int64).max)
-    by = np.argsort(cid, axis=1, kind="stable")
-    cand, cid = np.take_along_axis(cand, by, 1), np.take_along_axis(cid, by, 1)
-    cand[:, 1:][(cand[:, 1:] == cand[:, :-1])] = -1
-    total = np.zeros(cand.shape)
-    weight = np.zeros(cand.shape)
-    for kind, column, w in features:
-        a, b = column[want][:, None], column[cand]
-        if kind == "same":
-            d = (a != b).astype(float)
-            seen = np.ones(cand.shape)
-        else:
-            d = np.abs(a - b)
-            seen = (~np.isnan(d)).astype(float)
-            d = np.minimum(np.nan_to_num(d), 1.0)
-        total += w * seen * d
-        weight += w * seen
-    dist = np.where(cand >= 0, total / np.maximum(weight, 1e-12), np.inf)
-    top = np.argsort(dist, axis=1, kind="stable")[:, :neighbours]
-    cand, dist, cid = (np.take_along_axis(x, top, 1) for x in (cand, dist, cid))
+    cand, dist = _neighbours(block, ids, features, orders, donor, want, k, neighbours)
+    return want, *_choose(np.where(cand >= 0, value[cand], np.inf), np.where(cand >= 0, ids[cand], -1), dist, categorical)
+
+
+def _choose(v: np.ndarray, cid: np.ndarray, dist: np.ndarray, categorical: bool):
+    """(fill, donor id, distance) from the values, ids and distances of each row's donors, closest first."""
     usable = np.isfinite(dist)
     w = np.where(usable, 1.0 / (np.where(usable, dist, 0) + 0.02), 0.0)
-    v = np.where(usable, value[cand], np.inf)
     if categorical:
         yes = (w * (v == 1.0)).sum(1)
         no = (w * (v == 0.0)).sum(1)
@@ -102,9 +196,9 @@ def _fill(block, ids, features, orders, value, categorical, k, neighbours):
         at = np.argmax(cum >= cum[:, -1:] / 2, axis=1)
         pick = np.take_along_axis(by, at[:, None], 1)[:, 0]
         fill = v[np.arange(len(v)), pick]
-    r = np.arange(len(want))
+    r = np.arange(len(v))
     any_donor = usable[:, 0]
-    return want, np.where(any_donor, fill, np.nan), np.where(any_donor, cid[r, pick], -1), np.where(any_donor, dist[r, pick], np.nan)
+    return np.where(any_donor, fill, np.nan), np.where(any_donor, cid[r, pick], -1), np.where(any_donor, dist[r, pick], np.nan)
 
 
 def _kernel(k: int, neighbours: int, chunk: int):
@@ -122,7 +216,7 @@ def _kernel(k: int, neighbours: int, chunk: int):
             logv, logg = column(t, "logv"), column(t, "logg")
             block = np.cumsum(np.r_[0, np.diff(key) != 0])
             lv, lg, ly = (np.nan_to_num(x, nan=-99.0) for x in (logv, logg, year))
-            orders = [np.lexsort((ids, lv, ly, reporter, block)), np.lexsort((ids, lv, block)), np.lexsort((ids, lg, lv, block))]
+            orders = [np.lexsort(o) for o in ((ids, lv, ly, reporter, block), (ids, lg, lv, block), (ids, lv, lg, block), (ids, lv, lg, reporter, block))]
             features = [("same", reporter, 0.5), ("near", year / 10, 0.5), ("near", logv / 3, 2.0), ("near", logg / 3, 4.0)]
             grp = column(t, "grp", int)
             parts = []

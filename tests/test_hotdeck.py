@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators.hotdeck import _fill, filled, hot_deck
+from tallymark.operators.hotdeck import _fill, _neighbours, filled, hot_deck
 from tests.conftest import DATA
 
 SCHEMA = "id bigint, cmdCode string, flowCode string, reporterCode int, refYear string, primaryValue double, grossWgt double, netWgt double, isNetWgtEstimated string, field string, grp string, block int"
@@ -95,3 +95,28 @@ def test_only_values_of_donors(spark, seed):
     donors = {r[0]: r[7] for r in rows if r[7]}
     for r in fills(spark, rows).values():
         assert donors[r.donor_id] == r.fill
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_all_donors_of_a_block_are_considered(seed):
+    """Mixed features with nulls, repeats and ties: the five closest donors are those of a full comparison."""
+    rng = np.random.default_rng(seed)
+    n = 500
+    block, ids = np.sort(rng.integers(0, 3, n)), rng.permutation(n)
+    hide = lambda x, share: np.where(rng.random(n) < share, np.nan, x)
+    reporter, year = rng.integers(0, 5, n), hide(rng.integers(2015, 2022, n).astype(float), 0.1)
+    lv, lg = hide(np.round(rng.normal(5, 3, n), seed % 2), 0.2), hide(rng.normal(5, 3, n), 0.3)
+    features = [("same", reporter, 0.5), ("near", year / 10, 0.5), ("near", lv / 3, 2.0), ("near", lg / 3, 4.0)]
+    donor = rng.random(n) < 0.7
+    want = np.flatnonzero(~donor)
+    near, dist = _neighbours(block, ids, features, [np.lexsort((ids, lv, block))], donor, want, 3, 5)
+    for w, got, d in zip(want, near, dist):
+        def far(j):
+            total, weight = 0.5 * (reporter[w] != reporter[j]), 0.5
+            for _, c, x in features[1:]:
+                if not np.isnan(c[w] - c[j]):
+                    total, weight = total + x * min(abs(c[w] - c[j]), 1.0), weight + x
+            return total / weight
+
+        best = sorted((far(j), ids[j], j) for j in np.flatnonzero(donor & (block == block[w])))[:5]
+        assert list(got) == [j for _, _, j in best] and np.allclose(d, [x for x, _, _ in best], rtol=0, atol=1e-12)
