@@ -12,7 +12,7 @@ fixed wording around such messages. A document is residue if nothing else is lef
 
 Defined cases: null, empty and blank texts are no residue; null paths and hosts match nothing;
 repeated documents come out each, and copies on one host count once as evidence; texts of any
-length are read to their end, unless enough content of their own was met before.
+length are read to their end, unless code was met, which no evidence explains.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ from tallymark.session import materialise, spread
 
 #: Hosts over which unknown wording must recur to count as fixed wording.
 LEAST_HOSTS = 4
-#: Segments without an explanation after which a document surely has content of its own.
-OWN_SEGMENTS = 14
 
 # Reason phrases of HTTP and common spellings of them.
 STATUS = (
@@ -122,6 +120,7 @@ _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|·–—]\
 _WORD = re.compile(r"[^\W\d_]+")
 _HEADER = re.compile(r"^[A-Za-z][A-Za-z-]{1,40}:\s.*$")
 _PLAIN_CODE = re.compile(r"[{}=<>\[\]]|\w\(|\(\)|;\s*$")
+_CODE = re.compile(r"[{}=<>\[\]]|\w\(|\(\)|;\s*$")
 #: A line that is code whatever stands in it, and the signs of a slot, before which nothing is sure.
 _SURE_CODE = re.compile(r"(?m)^(?![^\n]*(?:\{\{|\{%|<%|\$\{|#\{|\$\(|%%|@@|\[\[|«|__[A-Z]|YOUR_|<[A-Za-z]|\{[A-Za-z]|\[[A-Z]))[^\n]*[;{}(),:\]]\r?$")
 _NOT_CODE = re.compile(r"(?m)[^\s;{}(),:\]]\r?$")
@@ -194,9 +193,6 @@ def judge(text: str, path: str | None = None) -> Verdict:
     if not t or v.own:
         v.own = True
         return v
-    if t[0] not in "<[{" and len(_SURE_CODE.findall(t)) > OWN_SEGMENTS + 2 * len(_NOT_CODE.findall(t)):
-        v.own = True
-        return v
     filled, fields, others = _holes(t)
     form = v.form = fields >= 2 and others <= fields // 4
     if form:
@@ -235,7 +231,7 @@ def judge(text: str, path: str | None = None) -> Verdict:
         if kind is None and any(_explain(x, form) == "status" for x in re.split(r"\s*[-–—|:]\s*", title)):
             kind = "status"
         v.evidence += kind in ("status", "message", "filler", "form") or bool(re.fullmatch(r"\W*[45]\d\d\W*", title))
-    budget, at = 0, 0
+    at = 0
     for p in pieces:
         marked = p
         p = p[_MARK.match(p).end() :]
@@ -254,13 +250,12 @@ def judge(text: str, path: str | None = None) -> Verdict:
             kind = None if code else _explain(s, form)
             if kind is None:
                 v.unknown.append(s)
-                budget += 1
-                if budget > OWN_SEGMENTS + 2 * v.evidence:
+                if not form and _CODE.search(wording(s)):  # code stays unknown, whatever its host evidence
                     v.own = True
                     return v
             else:
                 v.evidence += kind in ("status", "message", "filler", "form")
-    if len(v.unknown) > max(OWN_SEGMENTS, v.evidence) or not v.evidence:
+    if not v.evidence:
         v.own = True
     return v
 
@@ -286,9 +281,6 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if v.own:
                 continue
             segments = {wording(s) for s in v.unknown}
-            if not v.form and any(_CODE.search(s) and HOLE not in s for s in segments):
-                # code stays unknown, whatever its host evidence
-                segments = {s for s in segments if not (_CODE.search(s) and HOLE not in s)} | {"\0code"}
             slug = _slug_terms(path, repo)
             segments = {s if not slug & set(_WORD.findall(s)) else "\0slug" for s in segments}
             keep.append(i)

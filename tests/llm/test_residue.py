@@ -68,3 +68,12 @@ def test_nulls_repeats_long_and_empty(spark):
     got = sorted((r.doc_id or 0) for r in find_residue(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == [0, 1, 1, 4]
     assert find_residue(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_long_fixed_wording_ahead_of_the_message(spark):
+    """Every line is read: forty lines that recur over hosts are explained, wherever the message stands."""
+    names = [f"{a}{b}" for a in "bcdfgklm" for b in ("ando", "elmi", "irtu", "ospa", "ukre")]
+    lines = [f"The {n} notice holds here," if i % 2 else f"As {n} puts it" for i, n in enumerate(names)]
+    for text in ("\n".join(lines) + "\n\n404 Not Found\n", "404 Not Found\n\n" + "\n".join(lines) + "\n"):
+        assert find_residue(docs(spark, [text] * 5, repo=lambda i: f"r{i}")).count() == 5
+        assert find_residue(docs(spark, [text] * 5, repo="one")).count() == 0
