@@ -4,7 +4,8 @@ Every document is cut into visible segments - markup, response headers, page fur
 marks are taken off - and each segment is explained, if it can be, by a detector: status titles,
 access and error messages, notices that scripts are required, filler, slots of forms never filled
 in. Slug (path), title and body are compared: a file whose own name says that it deals with such
-texts (errors, translations, templates) is left alone, and titles do not count as body.
+texts (errors, translations, templates) is left alone if it has anything beside them, and titles do
+not count as body.
 
 Segments that no detector knows are settled by host evidence: wording that recurs over several
 unrelated hosts, in documents whose slug it does not match, and always beside detected residue, is
@@ -277,8 +278,8 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (path, repo, text) in enumerate(zip(b.column("path").to_pylist(), b.column("repo").to_pylist(), b.column("text").to_pylist())):
             if text is None:
                 continue
-            v = judge(text, path)
-            if v.own:
+            v = judge(text)
+            if v.own or v.unknown and path and _OWN_SLUG.search(path):
                 continue
             segments = {wording(s) for s in v.unknown}
             slug = _slug_terms(path, repo)

@@ -77,3 +77,9 @@ def test_long_fixed_wording_ahead_of_the_message(spark):
     for text in ("\n".join(lines) + "\n\n404 Not Found\n", "404 Not Found\n\n" + "\n".join(lines) + "\n"):
         assert find_residue(docs(spark, [text] * 5, repo=lambda i: f"r{i}")).count() == 5
         assert find_residue(docs(spark, [text] * 5, repo="one")).count() == 0
+
+
+@pytest.mark.parametrize("path", ["templates/x.md", "lang/y.html", "docs/errors/404.html", "src/gen_text.py"])
+def test_names_alone_decide_nothing(spark, path):
+    texts = ["404: Not Found", RESIDUE[2], "404: Not Found\n\nThe hub sends this when a ledger is gone.\n", *REAL[:5]]
+    assert {r.doc_id for r in find_residue(docs(spark, texts, repo=lambda i: f"r{i}", path=path)).collect()} == {0, 1}
