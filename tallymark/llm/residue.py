@@ -7,9 +7,13 @@ in. Slug (path), title and body are compared: a file whose own name says that it
 texts (errors, translations, templates) is left alone if it has anything beside them, and titles do
 not count as body.
 
-Segments that no detector knows are settled by host evidence: wording that recurs over several
-unrelated hosts, in documents whose slug it does not match, and always beside detected residue, is
-fixed wording around such messages. A document is residue if nothing else is left of it.
+Segments that no detector knows are settled by host evidence, counted over all documents, with and
+without residue: beside detected residue, wording that recurs over several unrelated hosts and does
+not match the slug, or a title that agrees with the slug, is fixed wording around such messages. A
+document is residue if nothing else is left of it. A text in which no detector hits (a wording or
+language they do not know) is residue if its whole body recurs over several hosts under as many file
+names, and neither body nor title matches the slug; copies of one file keep its name, and texts that
+hold code or nothing but comments are files of their own.
 
 Defined cases: null, empty and blank texts are no residue; null paths and hosts match nothing;
 repeated documents come out each, and copies on one host count once as evidence; texts of any
@@ -18,9 +22,11 @@ length are read to their end, unless code was met, which no evidence explains.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +37,8 @@ from tallymark.session import materialise, spread
 
 #: Hosts over which unknown wording must recur to count as fixed wording.
 LEAST_HOSTS = 4
+#: Slots of the filter of wordings whose hosts are counted over all documents: bounds what the driver and tasks hold.
+WORDING_SLOTS = 2**18
 
 # Reason phrases of HTTP and common spellings of them.
 STATUS = (
@@ -116,6 +124,7 @@ _TAG = re.compile(r"</?[a-zA-Z!?][^<>]{0,2000}>")
 _HOSTNAME = re.compile(r"\b(?:[a-z0-9-]+\.)+(?:test|invalid|example|com|org|net|io|local)\b(?::\d+)?", re.I)
 _HEX = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
 _MARK = re.compile(r"^(?:\s*(?:#+|//+|--+|/?\*+/?|;+|%+|>+|\"\"\"|'''|[-+•·]))*\s*")
+_COMMENT = re.compile(r"\s*(?:#|//|--|/?\*|;|%|\"\"\"|'''|<!)")
 _MARK_END = re.compile(r"\s*(?:\*/|-->)\s*$")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|·–—]\s+|\s*\|\s*")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -153,10 +162,10 @@ def _holes(text: str) -> tuple[str, int, int]:
 
 
 class Verdict:
-    __slots__ = ("evidence", "unknown", "titles", "own", "form")
+    __slots__ = ("evidence", "unknown", "titles", "own", "form", "mute")
 
     def __init__(self):
-        self.evidence, self.unknown, self.titles, self.own, self.form = 0, [], [], False, False
+        self.evidence, self.unknown, self.titles, self.own, self.form, self.mute = 0, [], [], False, False, False
 
 
 def _explain(s: str, form: bool) -> str | None:
@@ -186,24 +195,14 @@ def _explain(s: str, form: bool) -> str | None:
     return None
 
 
-def judge(text: str, path: str | None = None) -> Verdict:
-    """Evidence of residue in a text, and the segments that no detector explains."""
-    v = Verdict()
-    v.own = bool(path and _OWN_SLUG.search(path))
-    t = text.lstrip("﻿ \t\r\n")
-    if not t or v.own:
-        v.own = True
-        return v
-    filled, fields, others = _holes(t)
-    form = v.form = fields >= 2 and others <= fields // 4
-    if form:
-        t = filled
+def _visible(t: str, titles: list[str]) -> list[str]:
+    """Visible lines of a text; its titles are put apart."""
     if t.startswith("HTTP/"):
         head, _, body = t.replace("\r\n", "\n").partition("\n\n")
         lines = head.split("\n")
         t = "\n".join([lines[0], *[x for x in lines[1:] if not _HEADER.match(x)], body])
     pieces: list[str] | None = None
-    if t[0] in "{[":
+    if t[:1] in ("{", "["):
         try:
             stack, pieces = [json.loads(t)], []
             while stack:
@@ -221,23 +220,44 @@ def judge(text: str, path: str | None = None) -> Verdict:
             t = _DROPPED.sub("\n", t)
 
             def title(m: re.Match) -> str:
-                v.titles.append(_TAG.sub(" ", m[2]))
+                titles.append(_TAG.sub(" ", m[2]))
                 return "\n"
 
             t = _TITLE.sub(title, t)
             t = html.unescape(_TAG.sub("\n", t))
         pieces = t.splitlines()
+    return pieces
+
+
+def _bare(p: str) -> str:
+    """A line without marks of comments, lists and headings."""
+    p = p[_MARK.match(p).end() :]
+    return _MARK_END.sub("", p) if p.endswith(("*/", "-->", " ")) else p
+
+
+def judge(text: str, path: str | None = None) -> Verdict:
+    """Evidence of residue in a text, and the segments that no detector explains. mute: the whole text
+    was read, and there is neither evidence nor code nor a comment alone."""
+    v = Verdict()
+    v.own = bool(path and _OWN_SLUG.search(path))
+    t = text.lstrip("﻿ \t\r\n")
+    if not t or v.own:
+        v.own = True
+        return v
+    filled, fields, others = _holes(t)
+    form = v.form = fields >= 2 and others <= fields // 4
+    if form:
+        t = filled
+    pieces = _visible(t, v.titles)
     for title in v.titles:
         kind = _explain(title, form)
         if kind is None and any(_explain(x, form) == "status" for x in re.split(r"\s*[-–—|:]\s*", title)):
             kind = "status"
         v.evidence += kind in ("status", "message", "filler", "form") or bool(re.fullmatch(r"\W*[45]\d\d\W*", title))
-    at = 0
+    at, plain = 0, False
     for p in pieces:
         marked = p
-        p = p[_MARK.match(p).end() :]
-        if p.endswith(("*/", "-->", " ")):
-            p = _MARK_END.sub("", p)
+        p = _bare(p)
         if not p:
             continue
         at += 1
@@ -246,6 +266,7 @@ def judge(text: str, path: str | None = None) -> Verdict:
             continue
         if not _WORD.search(p) and HOLE not in p:
             continue
+        plain |= not _COMMENT.match(marked)
         code = HOLE not in p and bool(_PLAIN_CODE.search(p))
         for s in [p] if code else _SENTENCE.split(p):
             kind = None if code else _explain(s, form)
@@ -257,7 +278,7 @@ def judge(text: str, path: str | None = None) -> Verdict:
             else:
                 v.evidence += kind in ("status", "message", "filler", "form")
     if not v.evidence:
-        v.own = True
+        v.own, v.mute = True, plain and bool(v.unknown) and not t.startswith("#!")
     return v
 
 
@@ -272,45 +293,89 @@ def _slug_terms(path: str | None, repo: str | None) -> set[str]:
     return {w for w in _WORD.findall(t) if len(w) > 3}
 
 
+def _agreed(titles: list[str], slug: set[str]) -> set[str]:
+    """Terms of the titles that agree with the slug."""
+    terms = [{w for w in _WORD.findall(x.lower()) if len(w) > 3} for x in titles]
+    return set().union(*[x for x in terms if x & slug])
+
+
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keep, unknown = [], []
+        keep, names, unknown = [], [], []
         for i, (path, repo, text) in enumerate(zip(b.column("path").to_pylist(), b.column("repo").to_pylist(), b.column("text").to_pylist())):
             if text is None:
                 continue
             v = judge(text)
-            if v.own or v.unknown and path and _OWN_SLUG.search(path):
+            if v.own and not v.mute or v.unknown and path and _OWN_SLUG.search(path):
                 continue
             segments = {wording(s) for s in v.unknown}
             slug = _slug_terms(path, repo)
-            segments = {s if not slug & set(_WORD.findall(s)) else "\0slug" for s in segments}
+            agreed = _agreed(v.titles, slug)
+            about = slug | agreed
+            if v.mute:
+                if agreed or any(about & set(_WORD.findall(s)) for s in segments):
+                    continue  # slug and title or body agree
+                data = text.lstrip()[:1] in ("{", "[")  # keys of data are content, too
+                body = wording(text) if data else "\n".join([*map(wording, v.titles), "", *map(wording, v.unknown)])
+                unknown.append(["\1" + hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()])
+            else:
+                unknown.append(sorted({s if not about & set(_WORD.findall(s)) else "\0slug" for s in segments}))
             keep.append(i)
-            unknown.append(sorted(segments))
+            names.append(re.sub(r"\.\w+$", "", path.rsplit("/", 1)[-1]).lower() if path else None)
         rows = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").take(rows), b.column("repo").take(rows), pa.array(unknown, pa.list_(pa.string()))], names=["doc_id", "host", "unknown"])
+        yield pa.RecordBatch.from_arrays(
+            [b.column("doc_id").take(rows), b.column("repo").take(rows), pa.array(names, pa.string()), pa.array(unknown, pa.list_(pa.string()))], names=["doc_id", "host", "name", "unknown"]
+        )
+
+
+def _holders(slots: bytes):
+    """(segment, host) of every text, of the segments whose slot is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = set()
+            for repo, text in zip(b.column("repo").to_pylist(), b.column("text").to_pylist()):
+                t = (text or "").lstrip("\ufeff \t\r\n")
+                if repo is None or not t:
+                    continue
+                for p in map(_bare, _visible(t, [])):
+                    if not p:
+                        continue
+                    for s in [p] if _PLAIN_CODE.search(p) else _SENTENCE.split(p):
+                        w = wording(s)
+                        if slots[zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORDING_SLOTS]:
+                            found.add((w, repo))
+            segments, hosts = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(segments, pa.string()), pa.array(hosts, pa.string())], names=["segment", "host"])
+
+    return run
 
 
 def find_residue(documents: DataFrame, least_hosts: int = LEAST_HOSTS) -> DataFrame:
     """(doc_id) of documents that hold nothing but residue.
 
-    The texts are read once; what is shuffled is a few short segments of the documents that might be
-    residue. Host counts are distinct (segment, host) pairs reduced map-side, so a segment that half
+    The texts are judged once, and read again to count the hosts of the wordings in doubt; what is
+    shuffled is these few segments. Host counts are distinct (segment, host) pairs reduced map-side, so a segment that half
     of all hosts share is no burden."""
     cut = spread(documents.select("doc_id", F.col("repo").cast("string").alias("repo"), F.col("path").cast("string").alias("path"), "text"))
     # Three steps read the few documents that might be residue: they are written once, not judged anew.
-    seen = materialise(cut.mapInArrow(_judge, "doc_id bigint, host string, unknown array<string>"))
+    seen = materialise(cut.mapInArrow(_judge, "doc_id bigint, host string, name string, unknown array<string>"))
     sure = seen.filter(F.size("unknown") == 0).select("doc_id")
-    doubt = seen.filter(F.size("unknown") > 0).withColumn("row", F.xxhash64("doc_id", "host", "unknown"))
+    mute = F.coalesce(F.try_element_at("unknown", F.lit(1)).startswith("\1"), F.lit(False))
+    doubt = seen.filter((F.size("unknown") > 0) & ~mute).withColumn("row", F.xxhash64("doc_id", "host", "unknown"))
     segments = doubt.select("doc_id", "row", "host", F.size("unknown").alias("n"), F.explode("unknown").alias("segment"))
-    common = (
-        segments.filter(~F.col("segment").startswith("\0") & F.col("host").isNotNull())
-        .select("segment", "host")
-        .distinct()
-        .groupBy("segment")
-        .agg(F.count(F.lit(1)).alias("hosts"))
-        .filter(F.col("hosts") >= least_hosts)
-        .select("segment")
-    )
+    asked = segments.filter(~F.col("segment").startswith("\0"))
+    slots = bytearray(WORDING_SLOTS)
+    for (i,) in asked.select(F.pmod(F.crc32(F.col("segment").cast("binary")), F.lit(WORDING_SLOTS))).distinct().collect():  # at most WORDING_SLOTS numbers
+        slots[i] = 1
+    everywhere = asked.select("segment", "host").filter("host is not null")
+    if any(slots):
+        everywhere = everywhere.unionByName(cut.mapInArrow(_holders(bytes(slots)), "segment string, host string"))
+    common = everywhere.distinct().groupBy("segment").agg(F.count(F.lit(1)).alias("hosts")).filter(F.col("hosts") >= least_hosts).select("segment")
+    # Texts without evidence: whole bodies over hosts and, as copies of one file keep its name, over names.
+    bodies = seen.filter(mute).select("doc_id", "host", "name", F.try_element_at("unknown", F.lit(1)).alias("segment"))
+    dealt = bodies.groupBy("segment").agg(F.count_distinct("host").alias("hosts"), F.count_distinct("name").alias("names")).filter((F.col("hosts") >= least_hosts) & (F.col("names") >= least_hosts))
+    alike = bodies.join(dealt.select("segment"), "segment", "left_semi").select("doc_id")
     fixed = segments.join(common, "segment", "left_semi").groupBy("doc_id", "row", "n").agg(F.count_distinct("segment").alias("known"), F.count(F.lit(1)).alias("c"))
     copies = (F.col("c") / F.col("n")).cast("int")
-    return sure.unionByName(fixed.filter(F.col("known") == F.col("n")).select("doc_id", F.explode(F.array_repeat(F.lit(1), copies)).alias("_")).select("doc_id"))
+    return sure.unionByName(alike).unionByName(fixed.filter(F.col("known") == F.col("n")).select("doc_id", F.explode(F.array_repeat(F.lit(1), copies)).alias("_")).select("doc_id"))

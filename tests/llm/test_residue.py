@@ -83,3 +83,36 @@ def test_long_fixed_wording_ahead_of_the_message(spark):
 def test_names_alone_decide_nothing(spark, path):
     texts = ["404: Not Found", RESIDUE[2], "404: Not Found\n\nThe hub sends this when a ledger is gone.\n", *REAL[:5]]
     assert {r.doc_id for r in find_residue(docs(spark, texts, repo=lambda i: f"r{i}", path=path)).collect()} == {0, 1}
+
+
+def test_wording_no_detector_knows(spark):
+    """A duplicated body without any detector hit: found over hosts and file names; copies of a file, or a page its slug names, are not."""
+    body = "<html><head><title>Ojoj</title></head><body><p>Sivua ei ole olemassa, valitettavasti.</p></body></html>"
+    rows = lambda hosts, path: [(i, body, f"r{i}" if hosts else "one", path(i), "x", 1, "y") for i in range(6)]
+    count = lambda r: find_residue(spark.createDataFrame(r, SCHEMA)).count()
+    assert count(rows(True, lambda i: f"src/{'abcdef'[i]}x.md")) == 6
+    assert count(rows(False, lambda i: f"src/{'abcdef'[i]}x.md")) == 0
+    assert count(rows(True, lambda i: f"src/{'abcdef'[i]}/note.md")) == 0
+    assert count(rows(True, lambda i: f"sivua/{'abcdef'[i]}x.md")) == 0
+    assert count(rows(True, lambda i: f"ojoj/{'abcdef'[i]}x.md")) == 0
+
+
+def test_hosts_are_counted_over_all_documents(spark):
+    """The wording around one message also stands in files without residue, on other hosts."""
+    notice = "Zarf terms hold for all of this."
+    texts = [f"404 Not Found\n\n{notice}\n"] + [f"# {notice}\nx{i} = f({i});\n" for i in range(5)]
+    assert {r.doc_id for r in find_residue(docs(spark, texts, repo=lambda i: f"r{i}")).collect()} == {0}
+    assert find_residue(docs(spark, texts[:3], repo=lambda i: f"r{i}")).count() == 0
+
+
+def test_title_that_agrees_with_the_slug(spark):
+    page = "<html><head><title>Kwyjibo ledger</title></head><body><h1>500</h1><p>Kwyjibo handlers have left the building.</p></body></html>"
+    assert find_residue(docs(spark, [page] * 6, repo=lambda i: f"r{i}", path="docs/ledger.md")).count() == 0
+    assert find_residue(docs(spark, [page] * 6, repo=lambda i: f"r{i}")).count() == 6
+
+
+def test_scripts_and_data_alike_in_little_are_no_residue(spark):
+    shell, data = ["#!/bin/sh\nset -eu"] * 6, [f'{{"{k}": {i}, "unit": "H1"}}' for i, k in enumerate("abcdef")]
+    for texts in (shell, data):
+        rows = [(i, t, f"r{i}", f"src/{'abcdef'[i]}x.sh", "x", 1, "y") for i, t in enumerate(texts)]
+        assert find_residue(spark.createDataFrame(rows, SCHEMA)).count() == 0
