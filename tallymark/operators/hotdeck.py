@@ -1,8 +1,9 @@
 """Filling missing values from similar records: a blocked nearest-neighbour hot-deck.
 
-1. Records are hash-blocked on observed features (by default good and flow). A block that holds more
-   than `block_rows` rows, or more than 1/20,000 of the table, is split evenly by a hash of the
-   record id; a shard of such a block still has `block_rows` records to choose donors from.
+1. Records are hash-blocked on observed features (by default good and flow). The donors of a block
+   that holds more than `block_rows` rows, or more than 1/20,000 of the table, are split evenly by a
+   hash of the record id; each missing value of the block meets every shard, and the closest donors
+   of all shards are merged, so results do not depend on the split.
 2. Inside a block, the `neighbours` closest donors by the mixed (Gower) distance over the features
    observed on both records are kept. The k donors on each side in several orders (reporter-year-value,
    value, gross weight, reporter-gross weight) give a first bound; then every donor is looked at that
@@ -12,7 +13,8 @@
 4. A record whose block has no donor gets the median or majority of its chapter and flow, else of
    the whole table (`level` says which; those levels have no single donor).
 
-Memory of a task is bounded by one shard. Shuffled once, numeric columns only; the table of large
+Memory of a task is bounded by one shard's donors and a batch of records to fill, which are streamed.
+Shuffled once, numeric columns only (missing values of a large block once a shard); the table of large
 blocks that is broadcast has at most 20,000 rows by construction.
 
 Defined cases: every missing value comes out, with null as the fill if no row of the table has a
@@ -29,6 +31,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.operators.quantiles import exact_quantiles
+from tallymark.session import materialise
+
 TRUE_WORDS = ("1", "true", "yes", "t", "y")
 FALSE_WORDS = ("0", "false", "no", "f", "n")
 #: Pairs of records compared at a time.
@@ -201,6 +206,14 @@ def _choose(v: np.ndarray, cid: np.ndarray, dist: np.ndarray, categorical: bool)
     return np.where(any_donor, fill, np.nan), np.where(any_donor, cid[r, pick], -1), np.where(any_donor, dist[r, pick], np.nan)
 
 
+def _measure(block, ids, reporter, year, logv, logg):
+    """Orders of records in which neighbours are likely, and the features of the distance."""
+    lv, lg, ly = (np.nan_to_num(x, nan=-99.0) for x in (logv, logg, year))
+    orders = [np.lexsort(o) for o in ((ids, lv, ly, reporter, block), (ids, lg, lv, block), (ids, lv, lg, block), (ids, lv, lg, reporter, block))]
+    features = [("same", reporter, 0.5), ("near", year / 10, 0.5), ("near", logv / 3, 2.0), ("near", logg / 3, 4.0)]
+    return orders, features
+
+
 def _kernel(k: int, neighbours: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def column(t: pa.Table, name: str, kind=float) -> np.ndarray:
@@ -215,9 +228,7 @@ def _kernel(k: int, neighbours: int, chunk: int):
             reporter, year = column(t, "reporter", int), column(t, "year")
             logv, logg = column(t, "logv"), column(t, "logg")
             block = np.cumsum(np.r_[0, np.diff(key) != 0])
-            lv, lg, ly = (np.nan_to_num(x, nan=-99.0) for x in (logv, logg, year))
-            orders = [np.lexsort(o) for o in ((ids, lv, ly, reporter, block), (ids, lg, lv, block), (ids, lv, lg, block), (ids, lv, lg, reporter, block))]
-            features = [("same", reporter, 0.5), ("near", year / 10, 0.5), ("near", logv / 3, 2.0), ("near", logg / 3, 4.0)]
+            orders, features = _measure(block, ids, reporter, year, logv, logg)
             grp = column(t, "grp", int)
             parts = []
             for f, (name, categorical) in enumerate((("num", False), ("cat", True))):
@@ -251,6 +262,98 @@ def _kernel(k: int, neighbours: int, chunk: int):
     return run
 
 
+FEATURES = ["id", "reporter", "year", "logv", "logg", "grp", "num", "cat"]
+CANDIDATES = "row bigint, id bigint, grp int, copies bigint, field tinyint, cand array<struct<distance:double,donor_id:bigint,value:double>>"
+
+
+def _shard_kernel(k: int, neighbours: int):
+    """The closest donors in a shard of a large block for each record of the block with a missing value.
+
+    Rows come in order of good, shard and role: the donors of a shard are held, then records stream past."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def numbers(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+            whole = ("id", "reporter", "grp", "row", "copies")
+            return {n: b.column(n).fill_null(-1).to_numpy(zero_copy_only=False) if n in whole else b.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in (*FEATURES, "row", "copies")}
+
+        def solve(held: list[dict], r: dict) -> pa.RecordBatch:
+            c = {n: np.concatenate([*[h[n] for h in held], r[n]]) for n in FEATURES}
+            n, given = len(c["id"]), sum(len(h["id"]) for h in held)
+            block = np.zeros(n, np.int64)
+            orders, features = _measure(block, c["id"], c["reporter"], c["year"], c["logv"], c["logg"])
+            parts = []
+            for f, name in enumerate(("num", "cat")):
+                known = ~np.isnan(c[name])
+                want = np.flatnonzero(~known[given:])
+                near, dist = _neighbours(block, c["id"], features, orders, known & (np.arange(n) < given), want + given, k, neighbours)
+                cand = [[{"distance": x, "donor_id": c["id"][j], "value": c[name][j]} for j, x in zip(*pair) if j >= 0] for pair in zip(near, dist)]
+                parts.append((want, f, cand))
+            at = np.concatenate([w for w, _, _ in parts])
+            field = np.concatenate([np.full(len(w), f, np.int8) for w, f, _ in parts])
+            cand = [x for _, _, c in parts for x in c]
+            kind = pa.list_(pa.struct([("distance", pa.float64()), ("donor_id", pa.int64()), ("value", pa.float64())]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(r["row"][at]), pa.array(r["id"][at]), pa.array(r["grp"][at].astype(np.int32)), pa.array(r["copies"][at]), pa.array(field), pa.array(cand, kind)],
+                names=["row", "id", "grp", "copies", "field", "cand"],
+            )
+
+        held: list[dict] = []
+        shard = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = [b.column(n).to_numpy(zero_copy_only=False) for n in ("good", "shard", "role")]
+            new = np.zeros(b.num_rows, bool)
+            for x in keys:
+                new[1:] |= x[1:] != x[:-1]
+            cuts = np.r_[0, np.flatnonzero(new), b.num_rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if (at := (keys[0][lo], keys[1][lo])) != shard:
+                    held, shard = [], at
+                part = numbers(b.slice(lo, hi - lo))
+                if keys[2][lo] == 0:
+                    held.append(part)
+                else:
+                    yield solve(held, part)
+
+    return run
+
+
+def _chosen(neighbours: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists, fields = b.column("cand").to_pylist(), b.column("field").to_numpy(zero_copy_only=False)
+            v, x, who = np.full((len(lists), neighbours), np.inf), np.full((len(lists), neighbours), np.inf), np.full((len(lists), neighbours), -1, np.int64)
+            for i, cand in enumerate(lists):
+                for j, c in enumerate(cand):
+                    x[i, j], who[i, j], v[i, j] = c["distance"], c["donor_id"], c["value"]
+            fill, donor, far = np.full(len(lists), np.nan), np.full(len(lists), -1, np.int64), np.full(len(lists), np.nan)
+            for f in (0, 1):
+                at = np.flatnonzero(fields == f)
+                if len(at):
+                    fill[at], donor[at], far[at] = _choose(v[at], who[at], x[at], f == 1)
+            none = np.isnan(fill)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), b.column("grp"), b.column("field"), pa.array(fill, mask=none), pa.array(donor, mask=none), pa.array(far, mask=none), b.column("copies")],
+                names=["id", "grp", "field", "fill", "donor_id", "distance", "copies"],
+            )
+
+    return run
+
+
+def _split_blocks(rows: DataFrame, large: DataFrame, k: int, neighbours: int) -> DataFrame:
+    """RESULT of the blocks whose donors are split over shards."""
+    rows = rows.join(F.broadcast(large), "good").select("good", "shards", *FEATURES)
+    tail = lambda t, role: t.select("good", "shard", F.lit(role).alias("role"), *FEATURES, "row", "copies")
+    donors = rows.filter("num is not null or cat is not null").withColumns({"shard": F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"), "row": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")})
+    asking = rows.filter("num is null or cat is null").groupBy("good", "shards", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))
+    asking = asking.withColumns({"row": F.xxhash64("good", *FEATURES), "shard": F.explode(F.sequence(F.lit(0), F.col("shards") - 1))})
+    found = tail(donors, 0).unionByName(tail(asking, 1)).repartition("good", "shard").sortWithinPartitions("good", "shard", "role").mapInArrow(_shard_kernel(k, neighbours), CANDIDATES)
+    best = found.groupBy("row", "id", "grp", "copies", "field").agg(F.slice(F.array_sort(F.flatten(F.collect_list("cand"))), 1, neighbours).alias("cand"))
+    out = best.mapInArrow(_chosen(neighbours), f"{RESULT}, copies bigint")
+    return out.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_", "copies")
+
+
 def hot_deck(
     df: DataFrame,
     block_rows: int = 20_000,
@@ -279,30 +382,34 @@ def hot_deck(
     )
     whole = rows.count()
     limit = max(block_rows, whole // 20_000)
-    large = rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("good", F.ceil(F.col("n") / limit).cast("int").alias("shards"))
-    placed = rows.join(F.broadcast(large), "good", "left").withColumn(
-        "block", F.when(F.col("shards").isNull(), F.col("good")).otherwise(F.xxhash64("good", F.pmod(F.xxhash64("id"), F.col("shards"))))
-    )
+    # Read three times, and at most 20,000 rows by construction.
+    large = materialise(rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("good", F.ceil(F.col("n") / limit).cast("int").alias("shards")))
     near = (
-        placed.select("block", "id", "reporter", "year", "logv", "logg", "grp", "num", "cat")
+        rows.join(F.broadcast(large), "good", "left_anti")
+        .select(F.col("good").alias("block"), *FEATURES)
         .repartition("block")
         .sortWithinPartitions("block")
         .mapInArrow(_kernel(k, neighbours, chunk_rows), RESULT)
     )
+    if large.count():
+        near = near.unionByName(_split_blocks(rows, large, k, neighbours))
     # Chapters and flows: at most 101 x 7 rows, and one row for the table.
     mean = F.avg("cat") >= 0.5
     chapters = rows.groupBy("grp").agg(
-        F.percentile_approx("num", 0.5, 1000).alias("c_num"), F.when(F.count("cat") > 0, mean.cast("double")).alias("c_cat"), F.count("num").alias("w"), F.count("cat").alias("wc")
+        F.percentile_approx("num", 0.5, 1000).alias("c_num"), F.when(F.count("cat") > 0, mean.cast("double")).alias("c_cat"), F.sum("cat").alias("yes"), F.count("cat").alias("wc")
     )
-    # At most 707 rows of chapters: the table's own values are those of its largest chapter.
+    # The table's lower median: its largest value that is not above the exact median.
+    middle = exact_quantiles(rows, "num", [0.5]).first()
+    lower = rows.filter(F.col("num") <= middle.q0).agg(F.max("num")).first()[0] if middle else None
+    # At most 707 rows of chapters: flags of the table are counted from them.
     every = Window.partitionBy(F.lit(1))
     coarse = F.broadcast(
         chapters.select(
             "grp",
             "c_num",
             "c_cat",
-            F.max_by("c_num", F.struct(F.when(F.col("w") > 0, F.col("w")), "grp")).over(every).alias("t_num"),
-            F.max_by("c_cat", F.struct(F.when(F.col("wc") > 0, F.col("wc")), "grp")).over(every).alias("t_cat"),
+            F.lit(lower).cast("double").alias("t_num"),
+            F.when(F.sum("wc").over(every) > 0, (F.sum("yes").over(every) / F.sum("wc").over(every) >= 0.5).cast("double")).alias("t_cat"),
         )
     )
     by_field = lambda p: F.when(F.col("field") == 0, F.col(f"{p}_num")).otherwise(F.col(f"{p}_cat"))

@@ -120,3 +120,19 @@ def test_all_donors_of_a_block_are_considered(seed):
 
         best = sorted((far(j), ids[j], j) for j in np.flatnonzero(donor & (block == block[w])))[:5]
         assert list(got) == [j for _, _, j in best] and np.allclose(d, [x for x, _, _ in best], rtol=0, atol=1e-12)
+
+
+def test_split_blocks_give_what_whole_blocks_give(spark):
+    rng = np.random.default_rng(7)
+    rows = [row(i, None if rng.random() < 0.3 else float(rng.integers(1, 10**6)), "zz" if rng.random() < 0.2 else "01"[i % 2], rep=int(rng.integers(1, 4)), year=str(rng.integers(2015, 2022)), value=float(rng.lognormal(5, 3)), gross=None if i % 4 == 0 else float(rng.lognormal(5, 3))) for i in range(1500)]
+    rows += [r for r in rows if r[0] % 50 == 0] + [row(i, None, cmd="020220") if i % 2 else row(i, 5.0, cmd="020220") for i in range(2000, 2010)]
+    every = lambda **kw: sorted(map(tuple, hot_deck(spark.createDataFrame(rows, SCHEMA), **kw).collect()), key=str)
+    whole, split = every(), every(block_rows=100)
+    assert len(whole) == len(split) > 500 and whole == split
+
+
+def test_table_level_is_the_median_of_the_table(spark):
+    weights = {"01": (1.0, 1.0, 1.0), "02": (10.0, 11.0), "03": (20.0, 21.0)}
+    rows = [row(int(c) * 10 + i, w, cmd=f"{c}0110") for c, ws in weights.items() for i, w in enumerate(ws)]
+    r = fills(spark, [*rows, row(1000, None, cmd="990110")])[1000, "netWgt"]
+    assert (r.fill, r.level) == (10.0, "table")
