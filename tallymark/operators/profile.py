@@ -10,8 +10,9 @@ discretised to small feature vectors (bins of CIFValue, FOBValue, code of motCod
 null level) and counted per (load, fold, vector) - at most bins^2 x codes x folds cells a load. For
 each load, in its own task, a logistic regression tells its rows from those of all other loads; the
 fold it did not see gives its discrimination (AUC), each column alone gives the column's share of it
-and leaving the column out gives the ablation. A distribution finding needs both: the classifier
-tells the load by that column, and the exact aggregate lies outside the stated band.
+and leaving the column out gives the ablation. These say how far a load can be told from the others;
+whether its distribution is out of line is decided by the exact aggregate and the stated band
+alone, as nulls, bins and small loads can hide a true shift from the classifier.
 
 Defined cases: NaN counts as a value out of range; a load without any value of a column has no
 distinct, range, shift or pattern finding for it; with one load only nothing is out of line; a null
@@ -33,8 +34,6 @@ from tallymark.session import materialise
 BINS = 28
 #: Codes of motCode the profile may follow one by one.
 CODE_ROWS = 200
-#: A column tells loads apart if its own cross-fitted AUC is this far from 0.5.
-LEAST_AUC = 0.53
 #: Loads meet the list of all vectors by load number modulo this.
 SLOTS = 4
 #: Tasks over which the loads' models are spread.
@@ -148,7 +147,9 @@ def value_profile(df: DataFrame, numeric: list[str], load: str = "load_no") -> D
     holds = lambda at: (F.col("before") <= at) & (at < F.col("before") + F.col("in_bin"))
     middle = bins.filter(holds(lo) | holds(hi))
     # One or two bins for each load and column; only their values are looked at again.
-    inner = hist.join(F.broadcast(middle), [*key, "bin"])
+    at = middle.select(F.col("load_no").alias("_load"), F.col("column_name").alias("_column"), F.col("bin").alias("_bin"), "before", "in_bin", "rows", "distinct_n")
+    same = F.col("load_no").eqNullSafe(F.col("_load")) & (F.col("column_name") == F.col("_column")) & (F.col("bin") == F.col("_bin"))
+    inner = hist.join(F.broadcast(at), same).drop("_load", "_column", "_bin")
     upto = Window.partitionBy(*key, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     inner = inner.withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("in_bin", F.col("n"))
     pick = lambda at: F.max(F.when(holds(at), F.col("v")))
@@ -180,7 +181,6 @@ def profile_findings(p: dict, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"
     for i in range(len(known)):
         hits = hits + F.col(f"code_{i}")
     pattern = base.select("load_no", F.lit(code).alias("column_name"), (1 - ratio(hits, F.col(f"have_{code}"))).alias("x"))
-    told = p["shift"].filter(F.abs(F.col("auc_alone") - 0.5) >= LEAST_AUC - 0.5).select("load_no", "column_name")
 
     def median_of(t: DataFrame, keys: list[str]) -> DataFrame:
         return t.join(F.broadcast(t.groupBy(*keys).agg(F.percentile("x", 0.5).alias("mid"))), keys)
@@ -195,8 +195,7 @@ def profile_findings(p: dict, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"
     if known:
         shares = base.select("load_no", F.lit(code).alias("column_name"), F.inline(F.array(*[F.struct(F.lit(m).alias("code"), ratio(F.col(f"code_{i}"), F.col(f"have_{code}")).alias("x")) for i, m in enumerate(known)])))
         med = med.unionByName(median_of(shares, ["column_name", "code"]).filter(F.abs(F.col("x") - F.col("mid")) > 0.2).select("load_no", "column_name"))
-    shifted = med.distinct().join(told, ["load_no", "column_name"], "left_semi")
-    return out.unionByName(shifted.select("load_no", "column_name", F.lit("shift").alias("finding")))
+    return out.unionByName(med.distinct().select("load_no", "column_name", F.lit("shift").alias("finding")))
 
 
 def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:

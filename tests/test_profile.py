@@ -77,3 +77,22 @@ def test_column_profile(spark):
     assert got[None, "CIFValue"].low is None and got[None, "FOBValue"].high is None
     assert len(got) == 2 * 7
     assert column_profile(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_shifts_among_nulls_and_in_small_and_null_loads(spark):
+    """The exact band alone decides: nulls, a load of one row and a null load_no hide no shift."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for load in range(5):
+        rows += [(load * 1000 + i, load, float(np.exp(rng.normal(5, 1))) if i % 10 == 0 else None, 1.0 + i, ("0" if i % 20 else "2100") if i % 10 == 0 else None, "x", 1, 2) for i in range(400)]
+    rows += [(9000 + i, None, 5 * float(np.exp(rng.normal(5, 1))) if i % 10 == 0 else None, 1.0 + i, ("0" if i % 40 else "2100") if i % 10 == 0 else None, "x", 1, 2) for i in range(400)]
+    rows += [(9900, 7, 1e6, 1e6, None, "x", 1, 2)]
+    got = findings(spark, rows)
+    assert {(None, "CIFValue", "shift"), (None, "motCode", "shift"), (7, "CIFValue", "shift"), (7, "FOBValue", "shift")} <= got
+    assert not {f for f in got if f[2] == "shift" and f[0] in range(5)}
+
+
+def test_distinct_of_a_null_load(spark):
+    rng = np.random.default_rng(6)
+    rows = [r for load in (0, 1, 2) for r in rows_of(load, 100, rng, start=load * 1000)] + rows_of(None, 100, rng, same=True, start=5000)
+    assert (None, "CIFValue", "distinct") in findings(spark, rows)
