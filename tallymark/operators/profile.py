@@ -198,16 +198,38 @@ def profile_findings(p: dict, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"
     return out.unionByName(med.distinct().select("load_no", "column_name", F.lit("shift").alias("finding")))
 
 
+def distinct_counts(df: DataFrame, columns: list, load: str) -> DataFrame:
+    """(load_no, column_name, distinct_n), exact, of non-null values of the given fields.
+
+    Values are counted in histograms combined map-side, one for each kind of value, so that no
+    task holds the values of a load and numbers are shuffled as numbers."""
+    kinds: dict[str, list] = {"bigint": [], "double": [], "string": []}
+    for f in columns:
+        t = f.dataType.typeName()
+        kinds["bigint" if t in ("byte", "short", "integer", "long", "timestamp") else "double" if t in ("float", "double") else "string"].append(f)
+    # Instants as numbers: their spelling in the session's zone need not be unique.
+    value = lambda f: F.unix_micros(f"`{f.name}`") if f.dataType.typeName() == "timestamp" else F.col(f"`{f.name}`")
+    out = None
+    for kind, fields in kinds.items():
+        if not fields:
+            continue
+        entries = F.array(*[F.struct(F.lit(f.name).alias("column_name"), value(f).cast(kind).alias("v")) for f in fields])
+        values = df.select(F.col(f"`{load}`").cast("int").alias("load_no"), F.inline(entries)).filter("v is not null").groupBy("load_no", "column_name", "v").agg(F.lit(1).alias("_"))
+        counted = values.groupBy("load_no", "column_name").agg(F.count(F.lit(1)).alias("distinct_n"))
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
     """(load_no, column_name, rows, nulls, null_rate, distinct_n, low, high) of every column of every load.
 
-    One scan and one aggregate of fixed-size states. distinct_n is a sketch's count (5 % standard error;
-    `value_profile` has exact ones); low and high are the finite range of numeric columns."""
+    One aggregate of fixed-size states, and exact histograms of values for distinct_n; low and high are
+    the finite range of numeric columns."""
     columns = [f for f in df.schema.fields if f.name != load]
     numeric = [f.name for f in columns if f.dataType.typeName() in ("integer", "long", "short", "byte", "double", "float") or f.dataType.typeName().startswith("decimal")]
     aggs = [F.count(F.lit(1)).alias("rows")]
     for f in columns:
-        aggs += [F.count(f"`{f.name}`").alias(f"have_{f.name}"), F.approx_count_distinct(f"`{f.name}`").alias(f"distinct_{f.name}")]
+        aggs += [F.count(f"`{f.name}`").alias(f"have_{f.name}")]
     for c in numeric:
         v = F.col(f"`{c}`").cast("double")
         finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
@@ -219,11 +241,13 @@ def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
             F.lit(f.name).alias("column_name"),
             F.col("rows").alias("n"),
             (F.col("rows") - F.col(f"have_{f.name}")).alias("nulls"),
-            F.col(f"distinct_{f.name}").alias("distinct_n"),
             (F.col(f"low_{f.name}") if f.name in numeric else none).alias("low"),
             (F.col(f"high_{f.name}") if f.name in numeric else none).alias("high"),
         )
         for f in columns
     ]
     out = base.select("load_no", F.inline(F.array(*rows)))
-    return out.select("load_no", "column_name", F.col("n").alias("rows"), "nulls", (F.col("nulls") / F.col("n")).alias("null_rate"), "distinct_n", "low", "high")
+    # One row for each load and column on both sides.
+    distinct = distinct_counts(df, columns, load).withColumnsRenamed({"load_no": "_load", "column_name": "_column"})
+    out = out.join(F.broadcast(distinct), F.col("load_no").eqNullSafe(F.col("_load")) & (F.col("column_name") == F.col("_column")), "left")
+    return out.select("load_no", "column_name", F.col("n").alias("rows"), "nulls", (F.col("nulls") / F.col("n")).alias("null_rate"), F.coalesce("distinct_n", F.lit(0)).cast("bigint").alias("distinct_n"), "low", "high")

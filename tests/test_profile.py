@@ -96,3 +96,13 @@ def test_distinct_of_a_null_load(spark):
     rng = np.random.default_rng(6)
     rows = [r for load in (0, 1, 2) for r in rows_of(load, 100, rng, start=load * 1000)] + rows_of(None, 100, rng, same=True, start=5000)
     assert (None, "CIFValue", "distinct") in findings(spark, rows)
+
+
+def test_distinct_counts_of_all_columns_are_exact(spark):
+    rows = [(i, None if i % 3 == 0 else i % 2, float(i % 7919) if i % 2 else None, -0.0 if i % 2 else 0.0, str(i % 4999), "x", None, i) for i in range(30_000)]
+    got = {(r.load_no, r.column_name): r.distinct_n for r in column_profile(spark.createDataFrame(rows, SCHEMA)).collect()}
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    for load in (None, 0, 1):
+        for j, name in enumerate(names):
+            if name != "load_no":
+                assert got[load, name] == len({r[j] for r in rows if r[1] == load and r[j] is not None}), (load, name)
