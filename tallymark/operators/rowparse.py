@@ -97,7 +97,9 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
 
 
 def typed_rows(parsed: DataFrame) -> DataFrame:
-    """The valid rows with typed columns; an unreadable number of a column that is not checked is null."""
+    """The valid rows with typed columns; an unreadable number of a column that is not checked is null.
+    other: the fields of the file's remaining columns by header name in lower case, as they stand."""
     blank = lambda k: F.nullif(F.trim(F.col("fields")[k]), F.lit(""))
     typed = [(F.upper(blank(k)) if name == "flowCode" else blank(k).try_cast(kind)).alias(name) for k, (name, kind) in TYPED.items()]
-    return parsed.filter(F.size("reasons") == 0).select("raw_id", "file_name", "line_no", *typed)
+    other = F.map_filter("fields", lambda k, _: ~k.isin(*TYPED)).alias("other")
+    return parsed.filter(F.size("reasons") == 0).select("raw_id", "file_name", "line_no", *typed, other)

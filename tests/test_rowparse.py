@@ -79,3 +79,10 @@ def test_empty(spark):
 def test_very_long_broken_record_takes_linear_time():
     assert reason_of('a,"b' + ",c" * 200_000, ",", 3) == "quoting"
     assert reason_of("a,b" * 50_000, ",", 3) == "column_count"
+
+
+def test_columns_without_a_type_are_kept(spark):
+    lines = ["cmdCode,Remark,refYear,note 2", '10110,"late, again",2020,', "10110,,2021, x "]
+    raw = spark.createDataFrame([(i, "f", i, line) for i, line in enumerate(lines, 1)], "raw_id bigint, file_name string, line_no int, line string")
+    got = {r.raw_id: (r.refYear, r.other) for r in typed_rows(parse_rows(raw)).collect()}
+    assert got == {2: (2020, {"remark": "late, again", "note 2": ""}), 3: (2021, {"remark": "", "note 2": " x "})}
