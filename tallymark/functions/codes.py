@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 YES = ("1", "true", "yes", "t", "y")
 NO = ("0", "false", "no", "f", "n", "")
 NARROW_YES = ("true", "1", "t", "yes")
-#: HS editions by year.
+# Revision of each edition year.
 VINTAGES = {"1992": "H0", "1996": "H1", "2002": "H2", "2007": "H3", "2012": "H4", "2017": "H5", "2022": "H6"}
 
 
@@ -44,10 +44,6 @@ def narrow_bool(c: Column) -> Column:
     return F.coalesce(F.lower(F.trim(c)).isin(*NARROW_YES), F.lit(False))
 
 
-def vintage_revision(year: Column) -> Column:
-    return F.coalesce(*[F.when(F.trim(year) == y, F.lit(r)) for y, r in VINTAGES.items()])
-
-
 def convert_unit(value: Column, same: Column, dim_from: Column, factor_from: Column, dim_to: Column, factor_to: Column) -> Column:
     """value in the other unit: as it is for the same unit, by factors within a dimension, else null."""
     return F.when(same, value).when((dim_from == dim_to) & (factor_to > 0), value * factor_from / factor_to)

@@ -9,9 +9,6 @@ from tallymark.config import FLOWS, Config
 from tallymark.functions.codes import hs_level, key_text, narrow_bool, normalise_code
 from tallymark.schema import KEEP
 
-REASONS = (
-    "typeCode", "freqCode", "refYear", "classificationSearchCode", "partner_zero", "cmdCode", "hs_level", "commodity_filter", "reporterCode", "flowCode", "self_trade", "customsCode", "all_estimated",
-)
 ESTIMATES = ("isQtyEstimated", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated")
 
 
@@ -71,15 +68,22 @@ def drop_duplicates(df: DataFrame, scope: list[str], row_id: str = "id", keep: t
     return df.groupBy(*cols).agg(F.min(row_id).alias(row_id))
 
 
+def duplicate_counts(df: DataFrame, scope: list[str], by: list[str], keep: tuple[str, ...] = KEEP) -> DataFrame:
+    """(by..., level, rows, repeats): rows, and rows that repeat another of their scope. by: kept columns, in any form that depends on them alone."""
+    cols = list(dict.fromkeys(c for c in (*scope, *keep) if c in df.columns))
+    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.groupBy(*by, hs_level(F.col("cmdCode")).alias("level")).agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("repeats"))
+
+
 def counts(df: DataFrame, cfg: Config, by: list[str]) -> DataFrame:
     """(by..., reason, n): rows kept, and rows dropped for each reason."""
     return with_reject_reason(df, cfg).groupBy(*by, F.coalesce("reject_reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def level_counts(df: DataFrame, cfg: Config) -> DataFrame:
-    """(reason, HS2, HS4, HS6, Unknown)."""
-    rows = with_reject_reason(df, cfg).select(F.coalesce("reject_reason", F.lit("kept")).alias("reason"), hs_level(F.col("cmdCode")).alias("level"))
-    return rows.groupBy("reason").agg(*[F.count_if(F.col("level") == x).alias(x) for x in ("HS2", "HS4", "HS6", "Unknown")])
+def level_counts(df: DataFrame, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., reason, HS2, HS4, HS6, Unknown)."""
+    rows = with_reject_reason(df, cfg).select(*by, F.coalesce("reject_reason", F.lit("kept")).alias("reason"), hs_level(F.col("cmdCode")).alias("level"))
+    return rows.groupBy(*by, "reason").agg(*[F.count_if(F.col("level") == x).alias(x) for x in ("HS2", "HS4", "HS6", "Unknown")])
 
 
 def in_scope(df: DataFrame, targets: DataFrame, code: str = "reporterCode") -> DataFrame:
@@ -90,7 +94,3 @@ def in_scope(df: DataFrame, targets: DataFrame, code: str = "reporterCode") -> D
 def missing_reporters(df: DataFrame, targets: DataFrame, code: str = "reporterCode") -> DataFrame:
     """Expected reporters without any row."""
     return targets.select(F.col("iso_code").alias(code)).distinct().join(df.select(code).distinct(), code, "left_anti")
-
-
-def complete(df: DataFrame, targets: DataFrame) -> bool:
-    return missing_reporters(df, targets).isEmpty()

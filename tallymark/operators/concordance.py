@@ -103,15 +103,10 @@ def build(tables: dict[str, DataFrame], target: str) -> DataFrame:
 
 
 def best_targets(concordance: DataFrame, target: str) -> DataFrame:
-    """(from_revision, from_code, to_code): the heaviest mapping to the target; ties go to the lower code."""
-    return (
-        concordance.filter(F.col("to_revision") == target)
-        .groupBy("from_revision", "from_code", "to_code")
-        .agg(F.max("weight").alias("weight"))
-        .groupBy("from_revision", "from_code")
-        .agg(F.max("weight").alias("best"), F.collect_list(F.struct("weight", "to_code")).alias("all"))
-        .select("from_revision", "from_code", F.array_min(F.transform(F.filter("all", lambda x: x["weight"] == F.col("best")), lambda x: x["to_code"])).alias("to_code"))
-    )
+    """(from_revision, from_code, to_code): the heaviest mapping to the target, by weights of nine decimals, so
+    that the order in which paths were summed decides nothing; ties go to the lower code."""
+    heaviest = F.struct((-F.round("weight", 9)).alias("w"), "to_code")
+    return concordance.filter(F.col("to_revision") == target).groupBy("from_revision", "from_code").agg(F.min(heaviest).alias("b")).select("from_revision", "from_code", "b.to_code")
 
 
 def canonicalise(df: DataFrame, best: DataFrame, target: str) -> DataFrame:

@@ -37,10 +37,12 @@ def with_mirror_key(df: DataFrame, code: str = "canonical_cmd", null_keys_match:
     return out
 
 
-def groups(keyed: DataFrame) -> DataFrame:
-    """(key, n_x, n_m, first_x): one row for each group."""
+def groups(keyed: DataFrame, *more) -> DataFrame:
+    """(key, n_x, n_m, first_x, dom_x, dom_m, more...): one row for each group; dom: the lowest id of a side among rows of all transport modes."""
     x = F.col("flowCode") == "X"
-    return keyed.groupBy(*KEY).agg(F.count_if(x).alias("n_x"), F.count_if(~x).alias("n_m"), F.min(F.when(x, F.col("id"))).alias("first_x"))
+    every = F.coalesce(F.trim(F.col("motCode").cast("string")), F.lit("")) == "0" if "motCode" in keyed.columns else F.lit(True)
+    lowest = lambda side: F.min(F.when(side & every, F.col("id")))
+    return keyed.groupBy(*KEY).agg(F.count_if(x).alias("n_x"), F.count_if(~x).alias("n_m"), F.min(F.when(x, F.col("id"))).alias("first_x"), lowest(x).alias("dom_x"), lowest(~x).alias("dom_m"), *more)
 
 
 def matched_groups(grouped: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from tallymark.schema import amount
 METRICS = ("netWgt", "primaryValue", "qty", "altQty", "grossWgt")
 # Attributes whose two sides are compared.
 ATTRIBUTES = ("isOriginalClassification", "customsCode", "mosCode", "motCode", "qtyUnitCode", "isQtyEstimated", "altQtyUnitCode", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated", "isReported")
+# Attributes that are flags.
 FLAGS = ("isQtyEstimated", "isAltQtyEstimated", "isNetWgtEstimated", "isGrossWgtEstimated", "isReported", "isAggregate", "isOriginalClassification")
 # Names and order of the output columns of a pair.
 COLUMNS = (
@@ -35,11 +36,6 @@ def presence(matched: DataFrame) -> DataFrame:
     return matched.filter("matched_id is not null").groupBy("matched_id").agg(F.bool_or(_is("X")).alias("has_x"), F.bool_or(_is("M")).alias("has_m"))
 
 
-def with_both_sides(matched: DataFrame) -> DataFrame:
-    """Rows of pairs that have both sides."""
-    return matched.join(presence(matched).filter("has_x and has_m").select("matched_id"), "matched_id", "left_semi")
-
-
 def with_uplift(df: DataFrame, factors: DataFrame, default: float = DEFAULT_UPLIFT) -> DataFrame:
     """df with uplift, the factor of its transport mode, and value_cif = primaryValue * (1 + uplift)."""
     f = factors.select(F.trim("motCode").alias("_mot"), F.col("factor").cast("decimal(8,4)").alias("_f"))
@@ -66,8 +62,8 @@ def side_sums(uplifted: DataFrame) -> DataFrame:
     ).filter("has_x and has_m")
 
 
-def residuals(uplifted: DataFrame, conversion: DataFrame) -> DataFrame:
-    """The 27 columns of a pair: sums of both sides, M in the unit of X, and X less M."""
+def residuals(uplifted: DataFrame, conversion: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The 27 columns of a pair: sums of both sides, M in the unit of X, and X less M; and more columns of side_sums."""
     s = side_sums(uplifted)
     for c in (*[f"{m}_{f}" for m in METRICS for f in "XM"], "primaryValue_X_CIF"):
         s = s.withColumn(c, F.col(c).cast("double"))
@@ -81,7 +77,7 @@ def residuals(uplifted: DataFrame, conversion: DataFrame) -> DataFrame:
         s = s.withColumn(f"{q}_MISINVOICING", F.col(f"{q}_X") - F.col(f"{q}_M_in_X_unit"))
     s = s.withColumn("netWgt_MISINVOICING", F.col("netWgt_X") - F.col("netWgt_M")).withColumn("grossWgt_MISINVOICING", F.col("grossWgt_X") - F.col("grossWgt_M"))
     s = s.withColumn("primaryValue_MISINVOICING", F.col("primaryValue_X_CIF") - F.col("primaryValue_M")).withColumn("hs_level", hs_level(F.col("cmdCode")))
-    return s.select(*COLUMNS)
+    return s.select(*COLUMNS, *more)
 
 
 def effective_uplift(res: DataFrame) -> DataFrame:
@@ -95,14 +91,16 @@ def uplift_quantiles(res: DataFrame) -> DataFrame:
     return exact_quantiles(e, "effective_uplift", [0.05, 0.5, 0.95]).select("n", F.col("q0").alias("p05"), F.col("q1").alias("p50"), F.col("q2").alias("p95"))
 
 
-def discrepancies(matched: DataFrame) -> DataFrame:
-    """(attribute, pairs): pairs whose two sides report different sets of values of an attribute.
+def discrepancies(rows: DataFrame, key: tuple[str, ...] = ("matched_id",)) -> DataFrame:
+    """(attribute, pairs): pairs whose two sides report different sets of values of an attribute. The key
+    of a pair may be its id or the columns it is matched by; a pair with one side only counts nowhere.
 
-    Unpivoted and reduced to distinct values, so no set is ever collected."""
+    Unpivoted and reduced to distinct values map-side, so no set is ever collected."""
+    key = list(key)
     cells = F.array(*[F.struct(F.lit(a).alias("attribute"), (tolerant_bool(F.col(a)).cast("string") if a in FLAGS else F.col(a).cast("string")).alias("value")) for a in ATTRIBUTES])
-    values = matched.filter("matched_id is not null").select("matched_id", "flowCode", F.inline(cells)).filter("value is not null")
-    values = values.groupBy("matched_id", "attribute", "value").agg(F.max(_is("X").cast("int")).alias("x"), F.max(_is("M").cast("int")).alias("m"))
-    sides = values.groupBy("attribute", "matched_id").agg(F.sum("x").alias("nx"), F.sum("m").alias("nm"), F.count(F.lit(1)).alias("n"))
+    values = rows.filter(F.col(key[0]).isNotNull()).select(*key, "flowCode", F.inline(cells)).filter("value is not null")
+    values = values.groupBy(*key, "attribute", "value").agg(F.max(_is("X").cast("int")).alias("x"), F.max(_is("M").cast("int")).alias("m"))
+    sides = values.groupBy("attribute", *key).agg(F.sum("x").alias("nx"), F.sum("m").alias("nm"), F.count(F.lit(1)).alias("n"))
     return sides.groupBy("attribute").agg(F.count_if((F.col("nx") > 0) & (F.col("nm") > 0) & (F.col("n") > F.least("nx", "nm"))).alias("pairs"))
 
 
@@ -124,8 +122,7 @@ def mode_counts(matched: DataFrame, factors: DataFrame) -> DataFrame:
 
 def pair_counters(uplifted: DataFrame, conversion: DataFrame, entrepots: DataFrame) -> DataFrame:
     """One row of counters over pairs: hubs, imputed weights, missing weights, units that differ or were converted."""
-    flags = side_sums(uplifted).select("matched_id", (F.col("imputed_x") | F.col("imputed_m")).alias("imputed"))
-    r = with_entrepot(residuals(uplifted, conversion), entrepots).join(flags, "matched_id")
+    r = with_entrepot(residuals(uplifted, conversion, ("imputed_x", "imputed_m")), entrepots).withColumn("imputed", F.col("imputed_x") | F.col("imputed_m"))
     same = lambda q: F.coalesce(F.trim(f"{q}UnitCode_X") == F.trim(f"{q}UnitCode_M"), F.lit(False))
     count = lambda c: F.count_if(c)
     return r.agg(

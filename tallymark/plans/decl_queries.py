@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from tallymark.operators import canonical, cascade, concordance, pairing, residu
 from tallymark.plans.declarations import Plan
 from tallymark.plans.fixtures import revision_edges
 from tallymark.schema import KEEP
+from tallymark.session import write_once
 from tallymark.sources import dims
-from tallymark.sources.tables import table
+from tallymark.sources.tables import table, version
 
 CFG = Config(years=("2021", "2022"))
 QUERIES = {}
@@ -23,10 +26,29 @@ def query(f):
     return f
 
 
-def plan(spark: SparkSession, d: str, cfg: Config = CFG) -> Plan:
+#: Concordances written in this session, by the version of the declarations their codes come from.
+_BUILT: dict[tuple, str] = {}
+
+
+def plan(spark: SparkSession, d: str, cfg: Config = CFG, built: bool = True) -> Plan:
+    """built: take the best codes from the concordance of this session, which is written when first asked for."""
     t = table(spark, d, "declarations")
     names = {"factors": "cif_fob_factor", "conversion": "qty_unit_conversion", "entrepots": "entrepot_reporters", "reporters": "reporter_codes"}
-    return Plan(t, cfg, lambda n: revision_edges(t) if n == "edges" else table(spark, d, names[n]))
+
+    def tables(n: str) -> DataFrame | None:
+        if n == "edges":
+            return revision_edges(t)
+        if n != "best_codes":
+            return table(spark, d, names[n])
+        if not built:
+            return None
+        key = (spark.sparkContext.applicationId, version(spark, d, "declarations"), cfg.canonical_revision)
+        if key not in _BUILT:
+            p = Plan(t, cfg, lambda x: None if x == "best_codes" else tables(x))
+            _BUILT[key] = write_once(concordance.best_targets(p.concordance, cfg.canonical_revision))
+        return spark.read.schema("from_revision string, from_code string, to_code string").parquet(_BUILT[key])
+
+    return Plan(t, cfg, tables)
 
 
 # Scans, projections, filters
@@ -50,7 +72,21 @@ def decl_survivors(spark, d):
 
 @query
 def decl_dedup(spark, d):
-    return cascade.drop_duplicates(plan(spark, d).survivors, ["load_no"]).select("id", "load_no")
+    return plan(spark, d).survivors.select("id", "load_no")
+
+
+#: What tells one shipment from another; rows that agree in it repeat a shipment.
+SHIPMENT = ("refYear", "reporterCode", "partnerCode", "partner2Code", "flowCode", "cmdCode")
+
+
+@query
+def decl_dedup_shipment(spark, d):
+    return cascade.drop_duplicates(plan(spark, d).passed, [], keep=SHIPMENT).select("id", *SHIPMENT)
+
+
+@query
+def duplicate_counts(spark, d):
+    return cascade.duplicate_counts(plan(spark, d).passed, [], ["reporterCode"], SHIPMENT)
 
 
 @query
@@ -63,6 +99,11 @@ def reject_by_hs_level(spark, d):
     return cascade.level_counts(plan(spark, d).declarations, CFG)
 
 
+@query
+def reject_by_reporter_level(spark, d):
+    return cascade.level_counts(plan(spark, d).declarations, CFG, ("reporterCode",))
+
+
 @query
 def commodity_prefix(spark, d):
     cfg = Config(years=CFG.years, hs_level="ALL", prefixes=("27", "2709", "01", "64"))
@@ -150,10 +191,15 @@ def concordance_identity(spark, d):
     return plan(spark, d).concordance.filter("note = 'identity'").groupBy("from_revision").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def concordance_older_target(spark, d):
+    """To a revision that is not the newest: codes of newer ones stand for themselves."""
+    return plan(spark, d, replace(CFG, canonical_revision="H4")).concordance.withColumn("weight", F.round("weight", 9))
+
+
 @query
 def concordance_argmax(spark, d):
-    rounded = plan(spark, d).concordance.withColumn("weight", F.round("weight", 9))
-    return concordance.best_targets(rounded, CFG.canonical_revision)
+    return plan(spark, d).best_codes
 
 
 @query
@@ -226,7 +272,7 @@ def dominant_row(spark, d):
 
 @query
 def kept_pairs(spark, d):
-    return canonical.kept_pairs(plan(spark, d).dominant)
+    return canonical.kept_pairs(plan(spark, d).numbered)
 
 
 @query
@@ -236,7 +282,7 @@ def clean_view(spark, d):
 
 @query
 def clean_coverage(spark, d):
-    return canonical.coverage(plan(spark, d).dominant)
+    return canonical.coverage(plan(spark, d).numbered)
 
 
 # Residuals
@@ -244,7 +290,7 @@ def clean_coverage(spark, d):
 
 @query
 def pair_presence(spark, d):
-    return residual.presence(plan(spark, d).matched)
+    return plan(spark, d).numbered.select("matched_id", (F.col("n_x") > 0).alias("has_x"), (F.col("n_m") > 0).alias("has_m"))
 
 
 @query
@@ -289,7 +335,7 @@ def uplift_quantiles(spark, d):
 
 @query
 def discrepancies(spark, d):
-    return residual.discrepancies(plan(spark, d).matched)
+    return residual.discrepancies(plan(spark, d).keyed, pairing.KEY)
 
 
 @query

@@ -46,10 +46,17 @@ def amount(c: str) -> str:
     return f"TRY_CAST(CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS DECIMAL(24, 4))"
 
 
+NUMBERS = ("qty", "altQty", "netWgt", "grossWgt", "CIFValue", "FOBValue", "primaryValue")
+SHIPMENT = "refYear, reporterCode, partnerCode, partner2Code, flowCode, cmdCode"
 _X = "flowCode = 'X'"
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "r": ((), f"SELECT *, {reason()} AS reject_reason FROM declarations"),
-    "s": (("r",), "SELECT * EXCLUDE (flowCode, reject_reason), upper(trim(flowCode)) AS flowCode FROM r WHERE reject_reason IS NULL"),
+    "passed": (
+        ("r",),
+        f"""SELECT * EXCLUDE (flowCode, reject_reason, matched_id) REPLACE ({', '.join(f'CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS {c}' for c in NUMBERS)}), upper(trim(flowCode)) AS flowCode
+  FROM r WHERE reject_reason IS NULL""",
+    ),
+    "s": (("passed",), f"SELECT MIN(id) AS id, load_no, refYear, {', '.join(KEEP)} FROM passed GROUP BY ALL"),
     "codes": ((), f"SELECT DISTINCT {padded('cmdCode')} AS code FROM declarations WHERE length({padded('cmdCode')}) = 6"),
     "steps": (("codes",), "SELECT code, CAST(code AS INTEGER) AS c, k FROM codes, (VALUES (3), (4), (5)) v(k) WHERE NOT (k = 4 AND CAST(code AS INTEGER) % 11 = 0)"),
     "edges": (
@@ -80,7 +87,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
   CASE WHEN NOT COALESCE(in_scope, FALSE) THEN 'none' WHEN to_code IS NULL THEN 'unmapped' ELSE 'applied' END AS concord
   FROM k1 LEFT JOIN best ON from_revision = classificationCode AND from_code = cmd_norm""",
     ),
-    "m0": (("k",), "SELECT * EXCLUDE (matched_id), COALESCE(reporterCode, -1) AS r, COALESCE(partnerCode, -1) AS p, COALESCE(partner2Code, -1) AS p2 FROM k WHERE canonical_cmd IS NOT NULL"),
+    "m0": (("k",), "SELECT *, COALESCE(reporterCode, -1) AS r, COALESCE(partnerCode, -1) AS p, COALESCE(partner2Code, -1) AS p2 FROM k WHERE canonical_cmd IS NOT NULL"),
     "m": (
         ("m0",),
         f"""SELECT *, trim(refYear) AS year, CASE WHEN p2 = 0 THEN 'D' ELSE 'T' END AS bucket, CASE WHEN {_X} THEN r ELSE p END AS exporter,
@@ -174,7 +181,15 @@ SQL: dict[str, str] = {
     "decl_scan": "SELECT refYear, COUNT(*) AS n, COUNT(netWgt) AS with_weight, COUNT(DISTINCT reporterCode) AS reporters FROM declarations GROUP BY refYear",
     "decl_reject_reason": sql("SELECT id, reject_reason FROM r", "r"),
     "decl_survivors": sql("SELECT id, reporterCode, partnerCode, partner2Code, flowCode, cmdCode FROM s", "s"),
-    "decl_dedup": sql(f"SELECT MIN(id) AS id, load_no FROM s GROUP BY load_no, {', '.join(KEEP)}", "s"),
+    "decl_dedup": sql("SELECT id, load_no FROM s", "s"),
+    "decl_dedup_shipment": sql(f"SELECT MIN(id) AS id, {SHIPMENT} FROM passed GROUP BY {SHIPMENT}", "passed"),
+    "duplicate_counts": sql(
+        f"SELECT reporterCode, {level('cmdCode')} AS level, CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(n - 1) AS BIGINT) AS repeats FROM (SELECT {SHIPMENT}, COUNT(*) AS n FROM passed GROUP BY {SHIPMENT}) z GROUP BY ALL",
+        "passed",
+    ),
+    "reject_by_reporter_level": sql(
+        f"SELECT reporterCode, COALESCE(reject_reason, 'kept') AS reason, {', '.join(f'COUNT(*) FILTER (WHERE {level('cmdCode')} = {v!r}) AS {v}' for v in ('HS2', 'HS4', 'HS6', 'Unknown'))} FROM r GROUP BY ALL", "r"
+    ),
     "reject_counts": sql("SELECT reporterCode, COALESCE(reject_reason, 'kept') AS reason, COUNT(*) AS n FROM r GROUP BY ALL", "r"),
     "reject_by_hs_level": sql(
         f"SELECT COALESCE(reject_reason, 'kept') AS reason, {', '.join(f'COUNT(*) FILTER (WHERE {level('cmdCode')} = {v!r}) AS {v}' for v in ('HS2', 'HS4', 'HS6', 'Unknown'))} FROM r GROUP BY 1", "r"
@@ -194,6 +209,12 @@ SQL: dict[str, str] = {
     "weight_normalise": sql("SELECT from_rev, from_code, to_rev, to_code, round(weight, 9) AS weight FROM w", "w"),
     "concordance_compose": sql("SELECT * FROM conc", "conc"),
     "concordance_identity": sql("SELECT from_revision, COUNT(*) AS n FROM conc WHERE note = 'identity' GROUP BY 1", "conc"),
+    "concordance_older_target": sql(
+        """SELECT f AS from_revision, c AS from_code, 'H4' AS to_revision, here AS to_code, round(weight, 9) AS weight, '' AS note FROM h3a
+  UNION ALL SELECT rev, code, 'H4', code, CAST(1 AS DOUBLE), 'identity' FROM nodes WHERE rev >= 'H4' OR (rev, code) NOT IN (SELECT f, c FROM h3a)""",
+        "h3a",
+        "nodes",
+    ),
     "concordance_argmax": sql("SELECT * FROM best", "best"),
     "concordance_apply": sql("SELECT id, cmd_norm, canonical_cmd, concord FROM k", "k"),
     "concordance_diag": sql(

@@ -60,7 +60,7 @@ class Pipeline:
         decl = store.read(self.spark, self.path("aggregate")).filter(F.col("year") == year).drop("year")
         for c, v in (("typeCode", "C"), ("freqCode", "A"), ("classificationSearchCode", "HS")):  # settled by the first phase
             decl = decl.withColumn(c, F.lit(v))
-        return Plan(decl, replace(self.cfg, years=(year,)), lambda n: self.edges if n == "edges" else self.dims[n])
+        return Plan(decl, replace(self.cfg, years=(year,)), lambda n: self.edges if n == "edges" else self.dims.get(n), repeats=True)
 
     def match(self, year: str) -> bool:
         def write() -> None:
@@ -69,7 +69,7 @@ class Pipeline:
             store.write_partitions(out, self.path("match"), ["year", "is_matched"])
             matched = store.read(self.spark, self.path("match")).filter((F.col("year") == year) & (F.col("is_matched") == 1))
             store.write_partitions(canonical.clean(matched.drop("is_matched")), self.path("clean"), ["year"])
-            write_json(os.path.join(self.root, "stats", f"clean_{year}.json"), store.stats_document(canonical.coverage(canonical.dominant(matched))))
+            write_json(os.path.join(self.root, "stats", f"clean_{year}.json"), store.stats_document(canonical.coverage(canonical.sides(matched))))
 
         return self._step(f"match/{year}", self.manifest.entries.get(f"aggregate/{year}"), write)
 

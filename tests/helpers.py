@@ -17,7 +17,8 @@ def connect(data: str) -> duckdb.DuckDBPyConnection:
 def cell(v) -> str:
     if hasattr(v, "tolist"):
         v = v.tolist()
-    return "nan" if isinstance(v, float) and v != v else repr(v) if isinstance(v, float) else str(v)
+    assert not (isinstance(v, float) and v != v), "NaN compares with nothing"
+    return repr(v) if isinstance(v, float) else str(v)
 
 
 def rows(df, columns) -> Counter:
