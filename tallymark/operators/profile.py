@@ -1,22 +1,26 @@
 """Column-level data quality profile of every load, and the loads that are out of line.
 
-Exact base aggregates come from one scan (null rates of every column, ranges, code patterns), and an
-exact value histogram (load, column, value -> count) that is combined map-side gives distinct counts
-and medians; the median is selected in two steps through coarse value bins, so that no task ever
-sorts the values of a whole load.
-
-Distribution changes are identified by a classifier two-sample test. All rows of all loads are
-discretised to small feature vectors (bins of CIFValue, FOBValue, code of motCode, each with its own
-null level) and counted per (load, fold, vector) - at most bins^2 x codes x folds cells a load. For
-each load, in its own task, a logistic regression tells its rows from those of all other loads; the
-fold it did not see gives its discrimination (AUC), each column alone gives the column's share of it
-and leaving the column out gives the ablation. These say how far a load can be told from the others;
-whether its distribution is out of line is decided by the exact aggregate and the stated band
-alone, as nulls, bins and small loads can hide a true shift from the classifier.
+Every record is put once into a small vector of levels, one a column: null, out of range, half powers
+of ten for numbers, codes of the code table, hashed values for all else. Exact base aggregates (null
+rates, ranges, patterns, shares of codes) are counts of levels; an exact value histogram (load,
+column, value -> count) that is combined map-side gives distinct counts and medians, the median in
+two steps through coarse value bins, so that no task ever sorts the values of a whole load.
+
+Distribution changes are identified by a classifier two-sample test over all columns. For each load
+a logistic regression tells its records from those of the other loads: it is fitted on a bounded
+sample of FIT_ROWS records a load, class and fold, and judged on *all* records of the fold it did not
+see - each record counts for its own load, and against one other load that its hash chooses, so the
+work goes with the records, not with records times loads. Scores are kept as histograms. `auc` is the
+discrimination, `auc_lost` what it loses when the column's term is taken out (ablation), `auc_alone`
+that of the column by itself, cross-fitted over the exact counts of its non-null levels.
+
+A load and column is proposed as shifted by the classifier: by auc_alone or by auc_lost, or if it has
+too few values to be judged. Proposals become findings if the exact aggregates confirm the stated band.
 
 Defined cases: NaN counts as a value out of range; a load without any value of a column has no
 distinct, range, shift or pattern finding for it; with one load only nothing is out of line; a null
-load_no is a load of its own; an empty table gives no rows.
+load_no is a load of its own; an empty table gives no rows; the time of loading, as any timestamp, tells
+nothing but whether it is null.
 """
 
 from __future__ import annotations
@@ -24,27 +28,37 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.session import materialise
 
-#: Value bins of the classifier: half powers of ten between 1e-2 and 1e11; fixed, so vectors are bounded.
-BINS = 28
-#: Codes of motCode the profile may follow one by one.
+#: Levels of a number: null, out of range, half powers of ten between 1e-2 and 1e11.
+BINS = 29
+#: Levels of hashed values, null included.
+HASHED = 16
+#: Codes that are followed one by one; a longer code table is an error, not a cut.
 CODE_ROWS = 200
-#: Loads meet the list of all vectors by load number modulo this.
-SLOTS = 4
-#: Tasks over which the loads' models are spread.
-FIT_TASKS = 32
+MOST = 1e11
+#: Records a load, class and fold that a model is fitted on.
+FIT_ROWS = 1500
+#: Loads whose models are held by a task at a time.
+LOADS_AT_ONCE = 2000
+#: Bins of a score's histogram, over SPAN standard deviations on either side.
+SCORE_BINS, SPAN = 64, 4.0
+#: Discrimination from which the classifier proposes a shift, and values below which it can't tell.
+ALONE, LOST, FEW = 0.01, 0.005, 2000
 MEDIAN_BINS_PER_DOUBLING = 16
+_NO_LOAD = -(2**62)
 
 
-def value_bin(c: Column) -> Column:
-    """0: null, 1: not a positive number, else by half powers of ten."""
-    lg = F.floor(F.log10(c) * 2).cast("int") + 5
-    return F.when(c.isNull(), 0).when(F.isnan(c) | (c <= 0), 1).otherwise(F.greatest(F.lit(2), F.least(F.lit(BINS - 1), lg + 1))).cast("int")
+def value_bin(c: np.ndarray) -> np.ndarray:
+    """Level of non-null numbers. 1: not in (0, MOST], else by half powers of ten."""
+    good = (c > 0) & (c <= MOST)
+    return np.where(good, np.clip(np.floor(np.log10(np.where(good, c, 1.0)) * 2) + 6, 2, BINS - 1), 1)
 
 
 def _auc(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
@@ -57,75 +71,240 @@ def _auc(score: np.ndarray, pos: np.ndarray, neg: np.ndarray) -> float:
     return float((p * (below + n / 2)).sum() / (p.sum() * n.sum()))
 
 
-def _fit(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, rounds: int = 8, ridge: float = 1e-3) -> np.ndarray:
-    """Newton steps of a logistic regression over weighted vectors; both classes weigh one half."""
-    wp, wn = pos / max(pos.sum(), 1e-12) / 2, neg / max(neg.sum(), 1e-12) / 2
-    w = wp + wn
-    beta = np.zeros(x.shape[1])
+def _fit(levels: np.ndarray, width: int, y: np.ndarray, rounds: int = 60, ridge: float = 0.02) -> np.ndarray:
+    """Weights of a logistic regression over one-hot levels (rows x columns, numbered through), the last one for
+    all rows: accelerated gradient steps, preconditioned by the diagonal; both classes weigh one half."""
+    n, c = levels.shape
+    w = np.where(y, 0.5 / max(y.sum(), 1), 0.5 / max((~y).sum(), 1))
+    flat = levels.ravel()
+    size = np.bincount(flat, np.repeat(w, c), width)
+    step = 1.0 / (0.25 * (c + 1) * size + ridge)
+    beta, ahead, bias, t = np.zeros(width), np.zeros(width), 0.0, 1.0
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        g = x.T @ (wp - w * p) - ridge * beta
-        h = (x * (w * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(h, g)
-        beta += step
-        if np.abs(step).max() < 1e-4:
-            break
-    return beta
-
-
-def two_sample(vectors: np.ndarray, fold: np.ndarray, pos: np.ndarray, neg: np.ndarray, names: list[str]) -> list[tuple[str, float, float, float]]:
-    """(column, AUC of all columns, AUC of the column alone, AUC lost without it), cross-fitted over two folds."""
-    blocks = []
-    for j in range(vectors.shape[1]):
-        levels = np.unique(vectors[:, j])
-        blocks.append((vectors[:, j][:, None] == levels[None, :]).astype(float))
-    ones = np.ones((len(vectors), 1))
-
-    def crossed(use: list[int]) -> float:
-        x = np.hstack([ones, *[blocks[j] for j in use]])
+        p = 1 / (1 + np.exp(-np.clip(ahead[levels].sum(1) + bias, -30, 30)))
+        g = w * (y - p)
+        new = ahead + step * (np.bincount(flat, np.repeat(g, c), width) - ridge * ahead * size)
+        bias += 4 * g.sum() / (c + 1)
+        t, was = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead, beta = new + (was - 1) / t * (new - beta), new
+    return np.append(beta, bias)
+
+
+def _reader(begin: np.ndarray):
+    def read(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(load or _NO_LOAD, hash, levels numbered through) of a batch of vectors."""
+        load = b.column(0).cast(pa.int64()).fill_null(_NO_LOAD).to_numpy(zero_copy_only=False)
+        levels = np.empty((b.num_rows, len(begin)), np.int32)
+        for j, first in enumerate(begin):
+            levels[:, j] = b.column(j + 2).to_numpy(zero_copy_only=False)
+            levels[:, j] += first
+        return load, b.column(1).to_numpy(zero_copy_only=False), levels
+
+    return read
+
+
+class Levels:
+    """The vectors of levels of a table: kinds of the columns, and the place of each level in a flat row."""
+
+    def __init__(self, df: DataFrame, numeric: tuple[str, ...], code: str, known: list[str], load: str, key: str):
+        self.load, self.known, self.code = load, known, code
+        self.columns = [f for f in df.schema.fields if f.name != load]
+        self.names = [f.name for f in self.columns]
+        kind = lambda f: f.dataType.typeName()
+        self.sizes, cols, kinds = [], [], []
+        for f in self.columns:
+            c = F.col(f"`{f.name}`")
+            if f.name in numeric or kind(f) in ("double", "float") or kind(f).startswith("decimal"):
+                what, size, c = "number", BINS, c.cast("double")
+            elif f.name == code:
+                what, size, c = "code", len(known) + 2, c.cast("string")
+            elif kind(f).startswith("timestamp"):
+                what, size, c = "null", 2, F.when(c.isNotNull(), F.lit(1))
+            else:
+                value = F.to_json(c) if kind(f) in ("map", "struct", "array") else c
+                what, size, c = "hash", HASHED, F.when(c.isNotNull(), F.xxhash64(value))
+            self.sizes.append(size)
+            kinds.append(what)
+            cols.append(c.alias(f"c{len(cols)}"))
+        self.begin = np.concatenate([[0], np.cumsum(self.sizes)])
+        drawn = F.xxhash64(F.lit("profile"), F.col(f"`{key}`") if key in df.columns else F.hash(*[F.col(f"`{n}`") for n in self.names]))
+        raw = df.select(F.col(f"`{load}`").cast("int").alias("load_no"), F.pmod(drawn, F.lit(1 << 31)).cast("int").alias("h"), *cols)
+        names, codes = raw.columns, pa.array(known, pa.string())
+
+        def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                out = [b.column(0), b.column(1)]
+                for j, what in enumerate(kinds, 2):
+                    c = b.column(j)
+                    none = c.is_null().to_numpy(zero_copy_only=False)
+                    if what == "code":
+                        v = pc.fill_null(pc.index_in(c, codes), -1).to_numpy(zero_copy_only=False) + 2
+                    else:
+                        v = c.fill_null(1).to_numpy(zero_copy_only=False)
+                        v = value_bin(v) if what == "number" else v % (HASHED - 1) + 1 if what == "hash" else v
+                    out.append(pa.array(np.where(none, 0, v).astype(np.int16)))
+                yield pa.RecordBatch.from_arrays(out, names=names)
+
+        self.vectors = materialise(raw.mapInArrow(level, ", ".join(f"{n} {'int' if i < 2 else 'smallint'}" for i, n in enumerate(names))))
+        self.read = _reader(self.begin[:-1].astype(np.int32))
+
+    def counts(self) -> DataFrame:
+        """(load_no, fold, level, n): level numbered through all columns. A task ships counts of the loads it met."""
+        read, width = self.read, int(self.begin[-1])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: dict[tuple[int, int], np.ndarray] = {}
+            for b in batches:
+                load, h, levels = read(b)
+                who, at = np.unique(load * 2 + (h & 1), return_inverse=True)
+                n = np.bincount((at[:, None] * width + levels).ravel(), minlength=len(who) * width).reshape(len(who), width)
+                for k, x in zip(who.tolist(), n):
+                    seen[k] = seen[k] + x if k in seen else x
+            for k, x in seen.items():
+                at = np.flatnonzero(x)
+                load = pa.array([None if k >> 1 == _NO_LOAD else k >> 1] * len(at), pa.int32())
+                yield pa.RecordBatch.from_arrays([load, pa.array(np.full(len(at), k & 1, np.int8)), pa.array(at, pa.int32()), pa.array(x[at], pa.int64())], names=["load_no", "fold", "level", "n"])
+
+        return self.vectors.mapInArrow(run, "load_no int, fold tinyint, level int, n bigint").groupBy("load_no", "fold", "level").agg(F.sum("n").alias("n"))
+
+
+def _against(load: np.ndarray, h: np.ndarray, many: int) -> np.ndarray:
+    """The other load (by place) that a record counts against."""
+    return (load + 1 + (h >> 1) % max(many - 1, 1)) % many
+
+
+def _models(lv: Levels, loads: list[int], sizes: np.ndarray, low: int, high: int) -> np.ndarray:
+    """(loads low to high, fold, levels and constant, mean and deviation of the score): fitted without the fold."""
+    read, many, width = lv.read, len(loads), int(lv.begin[-1])
+    place = np.array(loads)
+    rest = (sizes.sum() - sizes) / max(many - 1, 1)
+
+    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            load, h, levels = read(b)
+            own = np.searchsorted(place, load)
+            other = _against(own, h, many)
+            # another hash than that of the fold and of the other load
+            u = ((h.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(float) / 2.0**24
+            for m, y, have in ((own, True, sizes[own]), (other, False, rest[other])):
+                pick = np.flatnonzero((u * have < 2 * FIT_ROWS) & (m >= low) & (m < high) & (many > 1))
+                if len(pick):
+                    flat = pa.FixedSizeListArray.from_arrays(pa.array(levels[pick].ravel()), levels.shape[1]).cast(pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([pa.array(m[pick], pa.int32()), pa.array((h[pick] & 1).astype(np.int8)), pa.array([y] * len(pick)), flat], names=["m", "fold", "y", "levels"])
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y, fold = np.stack(pdf.levels), pdf.y.to_numpy(), pdf.fold.to_numpy()
         out = []
         for f in (0, 1):
-            a, b = fold != f, fold == f
-            if pos[a].sum() and pos[b].sum() and neg[a].sum() and neg[b].sum():
-                out.append(_auc(x[b] @ _fit(x[a], pos[a], neg[a]), pos[b], neg[b]))
-        return float(np.mean(out)) if out else 0.5
+            a = fold != f
+            beta = _fit(x[a], width, y[a]) if y[a].any() and not y[a].all() else np.zeros(width + 1)
+            score = beta[x[a]].sum(1) if a.any() else np.zeros(1)
+            out.append((int(pdf.m.iloc[0]), f, [*beta.tolist(), float(score.mean()), float(score.std()) or 1.0]))
+        return pd.DataFrame(out, columns=["m", "fold", "beta"])
+
+    fitted = lv.vectors.mapInArrow(examples, "m int, fold tinyint, y boolean, levels array<int>").groupBy("m").applyInPandas(fit, "m int, fold int, beta array<double>").collect()  # 2 x LOADS_AT_ONCE rows
+    out = np.zeros((high - low, 2, width + 3))
+    out[:, :, -1] = 1.0
+    for m, f, beta in fitted:
+        out[m - low, f] = beta
+    return out
 
-    every = list(range(len(names)))
-    whole = crossed(every)
-    return [(n, whole, crossed([j]), whole - crossed([i for i in every if i != j])) for j, n in enumerate(names)]
 
+def _scored(lv: Levels, loads: list[int], beta: np.ndarray, low: int) -> DataFrame:
+    """(m, hist): histograms of the scores of all records, by class, fold, and column left out (the last: none)."""
+    read, many, c = lv.read, len(loads), len(lv.names)
+    place, shape = np.array(loads), (2, 2, c + 1, SCORE_BINS)
 
-def _classify(names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, np.ndarray] = {}
         for b in batches:
-            for load, own, rest in zip(*(b.column(i).to_pylist() for i in range(3))):
-                mine = {tuple(c[f"c{j}"] for j in range(len(names))) + (c["fold"],): c["n"] for c in own}
-                keys = [tuple(c[f"c{j}"] for j in range(len(names))) + (c["fold"],) for c in rest]
-                k = np.array(keys).reshape(len(keys), len(names) + 1)
-                pos = np.array([mine.get(x, 0) for x in keys], float)
-                neg = np.array([c["n"] for c in rest], float) - pos
-                rows = two_sample(k[:, :-1], k[:, -1], pos, neg, names)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([load] * len(rows), pa.int32()), *[pa.array(x) for x in zip(*rows)]], names=["load_no", "column_name", "auc", "auc_alone", "auc_lost"]
-                )
-
-    return run
-
-
-def load_discrimination(df: DataFrame, numeric: list[str], code: str, codes: list[str], load: str = "load_no", key: str = "id") -> DataFrame:
-    """(load_no, column_name, auc, auc_alone, auc_lost): how well each load can be told from all others."""
-    names = [*numeric, code]
-    level = F.when(F.col(code).isNull(), 0).otherwise(F.coalesce(*[F.when(F.col(code) == c, F.lit(i)) for i, c in enumerate(codes, 2)], F.lit(1)))
-    cols = [value_bin(F.col(c)).alias(f"c{j}") for j, c in enumerate(numeric)] + [level.cast("int").alias(f"c{len(numeric)}")]
-    vec = [f"c{j}" for j in range(len(names))]
-    cells = df.select(F.col(load).cast("int").alias("load_no"), F.pmod(F.xxhash64(key), F.lit(2)).cast("int").alias("fold"), *cols).groupBy("load_no", "fold", *vec).agg(F.count(F.lit(1)).alias("n"))
-    # Vectors are bounded by BINS^2 x codes x 2 folds: both lists are small whatever the size of the table.
-    own = cells.groupBy("load_no").agg(F.collect_list(F.struct("fold", *vec, "n")).alias("own")).withColumn("slot", F.pmod(F.coalesce("load_no", F.lit(0)), F.lit(SLOTS)))
-    whole = cells.groupBy("fold", *vec).agg(F.sum("n").alias("n")).agg(F.collect_list(F.struct("fold", *vec, "n")).alias("rest"))
-    whole = whole.select("rest", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot"))  # the one row, for each slot of loads
-    # An explicit number of partitions: the rows are few, but each is a model to fit.
-    joined = own.repartition(FIT_TASKS, "load_no").join(F.broadcast(whole), "slot").select("load_no", "own", "rest")
-    return joined.mapInArrow(_classify(names), "load_no int, column_name string, auc double, auc_alone double, auc_lost double")
+            load, h, levels = read(b)
+            own, fold = np.searchsorted(place, load), h & 1
+            for y, m in ((1, own), (0, _against(own, h, many))):
+                pick = np.flatnonzero((m >= low) & (m < low + len(beta)))
+                if not len(pick):
+                    continue
+                mm, ff = m[pick] - low, fold[pick]
+                terms = beta[mm[:, None], ff[:, None], levels[pick]]
+                whole = terms.sum(1)
+                mean, sd = beta[mm, ff, -2], beta[mm, ff, -1]
+                z = np.concatenate([whole[:, None] - terms, whole[:, None]], axis=1)
+                bins = np.clip(((z - mean[:, None]) / sd[:, None] + SPAN) * (SCORE_BINS / (2 * SPAN)), 0, SCORE_BINS - 1).astype(np.int64)
+                who, at = np.unique(mm, return_inverse=True)
+                cell = ((at * 2 + ff)[:, None] * (c + 1) + np.arange(c + 1)) * SCORE_BINS + bins
+                n = np.bincount(cell.ravel(), minlength=len(who) * 2 * (c + 1) * SCORE_BINS).reshape(len(who), *shape[1:])
+                for k, x in zip((who + low).tolist(), n):
+                    kept.setdefault(k, np.zeros(shape, np.int64))[y] += x
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int32()), pa.array([x.astype("<i8").tobytes() for x in kept.values()], pa.binary())], names=["m", "hist"])
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[int, np.ndarray] = {}  # bounded by the loads of a task
+        for pdf in batches:
+            for m, hist in zip(pdf["m"], pdf["hist"]):
+                x = np.frombuffer(hist, "<i8").reshape(shape)
+                kept[m] = kept[m] + x if m in kept else x
+        place = np.arange(SCORE_BINS, dtype=float)
+        for m, x in kept.items():
+            auc = np.array([np.mean([_auc(place, x[1, f, j], x[0, f, j]) for f in (0, 1)]) for j in range(c + 1)])
+            yield pd.DataFrame({"m": m, "column": np.arange(c), "auc": auc[-1], "auc_lost": auc[-1] - auc[:-1]})
+
+    shipped = lv.vectors.mapInArrow(run, "m int, hist binary")
+    return shipped.repartition(min(32, max(1, len(beta))), "m").mapInPandas(judged, "m int, column int, auc double, auc_lost double")
+
+
+def _alone(lv: Levels, counts: DataFrame) -> DataFrame:
+    """(load_no, column, values, auc_alone) from the exact counts of non-null levels: a load against all others."""
+    begin, sizes, many = lv.begin, lv.sizes, len(lv.names)
+    every = np.zeros((2, int(begin[-1])))
+    for fold, level, n in counts.groupBy("fold", "level").agg(F.sum("n")).collect():  # two rows for each level
+        every[fold, level] = n
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[int, np.ndarray] = {}  # the loads of a task
+        for pdf in batches:
+            load = pdf["load_no"].fillna(_NO_LOAD).astype("int64").to_numpy()
+            for x in np.unique(load):
+                of = kept.setdefault(int(x), np.zeros_like(every))
+                at = load == x
+                of[pdf["fold"].to_numpy()[at], pdf["level"].to_numpy()[at]] = pdf["n"].to_numpy()[at]
+        for x, whole in kept.items():
+            values, auc = np.zeros(many, np.int64), np.full(many, 0.5)
+            for j in range(many):
+                at = slice(int(begin[j]) + 1, int(begin[j + 1]))
+                own, neg, size = whole[:, at], (every - whole)[:, at], sizes[j] - 1
+                share = lambda c: np.log((c + 0.5) / (c.sum() + 0.5 * size))
+                values[j] = int(min(own.sum(), neg.sum()))
+                auc[j] = np.mean([_auc(share(own[1 - f]) - share(neg[1 - f]), own[f], neg[f]) for f in (0, 1)])
+            yield pd.DataFrame({"load_no": pd.array([None if x == _NO_LOAD else x] * many, "Int32"), "column": np.arange(many), "values": values, "auc_alone": auc})
+
+    return counts.repartition(32, "load_no").mapInPandas(judge, "load_no int, column int, values bigint, auc_alone double")
+
+
+def load_discrimination(lv: Levels, counts: DataFrame) -> DataFrame:
+    """(load_no, column_name, auc, auc_alone, auc_lost, proposed): how well each load can be told from the others,
+    by all columns and by each; proposed: where the classifier asks for a look at the exact figures."""
+    spark = counts.sparkSession
+    sizes = counts.filter(F.col("level") < int(lv.sizes[0])).groupBy("load_no").agg(F.sum("n").alias("n")).collect() if lv.names else []  # a row for each load
+    rows = sorted((_NO_LOAD if r.load_no is None else r.load_no, r.n) for r in sizes)
+    loads, have = [r[0] for r in rows], np.array([r[1] for r in rows], float)
+    whole = None
+    for low in range(0, len(loads), LOADS_AT_ONCE):
+        high = min(low + LOADS_AT_ONCE, len(loads))
+        part = _scored(lv, loads, _models(lv, loads, have, low, high), low)
+        whole = part if whole is None else whole.unionByName(part)
+    schema = "load_no int, column_name string, auc double, auc_alone double, auc_lost double, proposed boolean"
+    if whole is None:
+        return spark.createDataFrame([], schema)
+    named = spark.createDataFrame([(i, None if x == _NO_LOAD else int(x)) for i, x in enumerate(loads)], "m int, load_no int")
+    columns = spark.createDataFrame(list(enumerate(lv.names)), "column int, column_name string")
+    alone = _alone(lv, counts).withColumnRenamed("load_no", "_load").withColumnRenamed("column", "_column")
+    # rows of loads times columns from here on
+    out = whole.join(F.broadcast(named), "m").join(F.broadcast(columns), "column")
+    out = out.join(alone, (F.col("_column") == F.col("column")) & F.col("load_no").eqNullSafe(F.col("_load")), "left")
+    by_itself = F.coalesce("auc_alone", F.lit(0.5))
+    few = F.coalesce(F.col("values") < FEW, F.lit(True))
+    return out.select("load_no", "column_name", "auc", by_itself.alias("auc_alone"), "auc_lost", (few | (F.abs(by_itself - 0.5) >= ALONE) | (F.col("auc_lost") >= LOST)).alias("proposed"))
 
 
 def value_profile(df: DataFrame, numeric: list[str], load: str = "load_no") -> DataFrame:
@@ -136,10 +315,8 @@ def value_profile(df: DataFrame, numeric: list[str], load: str = "load_no") -> D
     size = F.abs("v")
     mag = F.when(size > 0, F.floor(F.log2(size) * MEDIAN_BINS_PER_DOUBLING)).otherwise(-(10**6)).cast("int")
     # Order of the bins is order of the values: negative ones by falling size, NaN last.
-    hist = hist.withColumn("bin", F.when(F.isnan("v"), 10**8).when(F.col("v") < 0, -mag - 4 * 10**6).otherwise(mag).cast("int"))
+    hist = materialise(hist.withColumn("bin", F.when(F.isnan("v"), 10**8).when(F.col("v") < 0, -mag - 4 * 10**6).otherwise(mag).cast("int")))  # read twice: for the bins, and for the bin that holds the median
     bins = hist.groupBy(*key, "bin").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("d"))
-    from pyspark.sql import Window
-
     run = Window.partitionBy(*key).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*key)
     bins = bins.select(*key, "bin", F.coalesce(F.sum("n").over(run), F.lit(0)).alias("before"), F.col("n").alias("in_bin"), F.sum("n").over(whole).alias("rows"), F.sum("d").over(whole).alias("distinct_n"))
@@ -156,25 +333,38 @@ def value_profile(df: DataFrame, numeric: list[str], load: str = "load_no") -> D
     return inner.groupBy(*key, "rows", "distinct_n").agg(((pick(lo) + pick(hi)) / 2).alias("median")).withColumnRenamed("rows", "n")
 
 
-def profile(df: DataFrame, codes_table: DataFrame, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"), code: str = "motCode", load: str = "load_no") -> dict[str, DataFrame]:
-    """base: one row a load, exact aggregates; values: exact distinct counts and medians; shift: the classifier's."""
-    known = sorted(r[0] for r in codes_table.select(code).filter(F.col(code).isNotNull()).distinct().limit(CODE_ROWS).collect())  # fixed reference table
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    aggs += [F.count(c).alias(f"have_{c}") for c in df.columns if c != load]
-    for c in numeric:
-        good = (F.col(c) > 0) & (F.col(c) <= 1e11)
-        aggs += [F.count_if(F.col(c).isNotNull() & ~F.coalesce(good, F.lit(False))).alias(f"out_{c}"), F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    aggs += [F.count_if(F.col(code) == m).alias(f"code_{i}") for i, m in enumerate(known)]
-    # A row for each load, and for each load and column: read by every kind of finding, so written once.
-    base = materialise(df.groupBy(F.col(load).cast("int").alias("load_no")).agg(*aggs))
-    return {"base": base, "values": materialise(value_profile(df, list(numeric), load)), "shift": load_discrimination(df, list(numeric), code, known, load), "known": known, "columns": [c for c in df.columns if c != load]}
+def profile(df: DataFrame, codes_table: DataFrame, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"), code: str = "motCode", load: str = "load_no", key: str = "id") -> dict:
+    """counts: exact counts of levels of all columns; values: exact distinct counts and medians; shift: the classifier's."""
+    known = sorted(r[0] for r in codes_table.select(code).filter(F.col(code).isNotNull()).distinct().limit(CODE_ROWS + 1).collect())
+    if len(known) > CODE_ROWS:
+        raise ValueError(f"more than {CODE_ROWS} codes in the table of {code}")
+    lv = Levels(df, numeric, code, known, load, key)
+    counts = materialise(lv.counts())  # rows of loads times levels
+    return {"levels": lv, "counts": counts, "values": materialise(value_profile(df, list(numeric), load)), "numeric": numeric}
+
 
+def discrimination(p: dict) -> DataFrame:
+    return load_discrimination(p["levels"], p["counts"])
 
-def profile_findings(p: dict, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"), code: str = "motCode", with_load: str | None = None) -> DataFrame:
+
+def figures(p: dict) -> DataFrame:
+    """(load_no, rows, have_<column>, out_<column>, code_<i>) of each load, exact, from the counts of levels."""
+    lv = p["levels"]
+    at = dict(zip(lv.names, lv.begin.tolist()))
+    total = lambda lo, hi: F.coalesce(F.sum(F.when((F.col("level") >= lo) & (F.col("level") < hi), F.col("n"))), F.lit(0))
+    aggs = [total(0, lv.sizes[0]).alias("rows")]
+    aggs += [total(at[c] + 1, at[c] + size).alias(f"have_{c}") for c, size in zip(lv.names, lv.sizes)]
+    aggs += [total(at[c] + 1, at[c] + 2).alias(f"out_{c}") for c in p["numeric"]]
+    aggs += [total(at[lv.code] + 2 + i, at[lv.code] + 3 + i).alias(f"code_{i}") for i in range(len(lv.known))]
+    return p["counts"].groupBy("load_no").agg(*aggs)
+
+
+def profile_findings(p: dict) -> DataFrame:
     """(load_no, column_name, finding). Tables from here on have a few rows for each load."""
-    known = p["known"]
-    base = p["base"]
-    null_rates = base.select("load_no", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), (1 - F.col(f"have_{c}") / F.col("rows")).alias("x")) for c in p["columns"]])))
+    lv = p["levels"]
+    known, code, numeric = lv.known, lv.code, p["numeric"]
+    base = materialise(figures(p))
+    null_rates = base.select("load_no", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), (1 - F.col(f"have_{c}") / F.col("rows")).alias("x")) for c in lv.names])))
     ratio = lambda a, b: F.when(b > 0, a / b)
     ranges = base.select("load_no", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), ratio(F.col(f"out_{c}"), F.col(f"have_{c}")).alias("x")) for c in numeric])))
     hits = F.lit(0)
@@ -191,11 +381,14 @@ def profile_findings(p: dict, numeric: tuple[str, ...] = ("CIFValue", "FOBValue"
     values = p["values"]
     dist = median_of(values.select("load_no", "column_name", (F.col("distinct_n") / F.col("n")).alias("x")), ["column_name"])
     out = out.unionByName(dist.filter("x < mid / 2").select("load_no", "column_name", F.lit("distinct").alias("finding")))
-    med = median_of(values.select("load_no", "column_name", F.col("median").alias("x")), ["column_name"]).filter("x > 4 * mid or x < mid / 4").select("load_no", "column_name")
+    # Shifts: what the classifier proposes, if the exact band confirms it.
+    band = median_of(values.select("load_no", "column_name", F.col("median").alias("x")), ["column_name"]).filter("x > 4 * mid or x < mid / 4").select("load_no", "column_name")
     if known:
         shares = base.select("load_no", F.lit(code).alias("column_name"), F.inline(F.array(*[F.struct(F.lit(m).alias("code"), ratio(F.col(f"code_{i}"), F.col(f"have_{code}")).alias("x")) for i, m in enumerate(known)])))
-        med = med.unionByName(median_of(shares, ["column_name", "code"]).filter(F.abs(F.col("x") - F.col("mid")) > 0.2).select("load_no", "column_name"))
-    return out.unionByName(med.distinct().select("load_no", "column_name", F.lit("shift").alias("finding")))
+        band = band.unionByName(median_of(shares, ["column_name", "code"]).filter(F.abs(F.col("x") - F.col("mid")) > 0.2).select("load_no", "column_name"))
+    band = F.broadcast(band.distinct().select(F.col("load_no").alias("_load"), F.col("column_name").alias("_column")))  # at most a row for each load and column
+    proposed = discrimination(p).filter("proposed").join(band, F.col("load_no").eqNullSafe(F.col("_load")) & (F.col("column_name") == F.col("_column")), "left_semi")
+    return out.unionByName(proposed.select("load_no", "column_name", F.lit("shift").alias("finding")))
 
 
 def distinct_counts(df: DataFrame, columns: list, load: str) -> DataFrame:
@@ -220,11 +413,23 @@ def distinct_counts(df: DataFrame, columns: list, load: str) -> DataFrame:
     return out
 
 
-def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
-    """(load_no, column_name, rows, nulls, null_rate, distinct_n, low, high) of every column of every load.
+def declaration_patterns(codes_table: DataFrame, code: str = "motCode") -> dict[str, Column]:
+    """Columns of declarations -> what their non-null values must be."""
+    known = [r[0] for r in codes_table.select(code).filter(F.col(code).isNotNull()).distinct().limit(CODE_ROWS + 1).collect()]
+    if len(known) > CODE_ROWS:
+        raise ValueError(f"more than {CODE_ROWS} codes in the table of {code}")
+    text = {"cmdCode": "^(TOTAL|[0-9]{1,6})$", "refYear": "^[0-9]{4}$", "flowCode": "^(X|M|RX|RM|DX|DM)$", "classificationCode": "^H[0-9]$"}
+    amounts = ("CIFValue", "FOBValue", "primaryValue")
+    return {c: F.col(c).rlike(p) for c, p in text.items()} | {c: (F.col(c) > 0) & (F.col(c) <= MOST) for c in amounts} | {code: F.col(code).isin(known)}
+
+
+def column_profile(df: DataFrame, load: str = "load_no", patterns: dict[str, Column] | None = None) -> DataFrame:
+    """(load_no, column_name, rows, nulls, null_rate, distinct_n, low, high, violations) of every column of every load.
 
     One aggregate of fixed-size states, and exact histograms of values for distinct_n; low and high are
-    the finite range of numeric columns."""
+    the finite range of numeric columns; violations: non-null values that are not as the column's pattern
+    says, null for a column without one."""
+    patterns = patterns or {}
     columns = [f for f in df.schema.fields if f.name != load]
     numeric = [f.name for f in columns if f.dataType.typeName() in ("integer", "long", "short", "byte", "double", "float") or f.dataType.typeName().startswith("decimal")]
     aggs = [F.count(F.lit(1)).alias("rows")]
@@ -234,6 +439,7 @@ def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
         v = F.col(f"`{c}`").cast("double")
         finite = F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
         aggs += [F.min(finite).alias(f"low_{c}"), F.max(finite).alias(f"high_{c}")]
+    aggs += [F.count_if(F.col(f"`{c}`").isNotNull() & ~F.coalesce(good, F.lit(False))).alias(f"bad_{c}") for c, good in patterns.items()]
     base = df.groupBy(F.col(load).cast("int").alias("load_no")).agg(*aggs)
     none = F.lit(None).cast("double")
     rows = [
@@ -243,6 +449,7 @@ def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
             (F.col("rows") - F.col(f"have_{f.name}")).alias("nulls"),
             (F.col(f"low_{f.name}") if f.name in numeric else none).alias("low"),
             (F.col(f"high_{f.name}") if f.name in numeric else none).alias("high"),
+            (F.col(f"bad_{f.name}") if f.name in patterns else F.lit(None).cast("bigint")).alias("violations"),
         )
         for f in columns
     ]
@@ -250,4 +457,4 @@ def column_profile(df: DataFrame, load: str = "load_no") -> DataFrame:
     # One row for each load and column on both sides.
     distinct = distinct_counts(df, columns, load).withColumnsRenamed({"load_no": "_load", "column_name": "_column"})
     out = out.join(F.broadcast(distinct), F.col("load_no").eqNullSafe(F.col("_load")) & (F.col("column_name") == F.col("_column")), "left")
-    return out.select("load_no", "column_name", F.col("n").alias("rows"), "nulls", (F.col("nulls") / F.col("n")).alias("null_rate"), F.coalesce("distinct_n", F.lit(0)).cast("bigint").alias("distinct_n"), "low", "high")
+    return out.select("load_no", "column_name", F.col("n").alias("rows"), "nulls", (F.col("nulls") / F.col("n")).alias("null_rate"), F.coalesce("distinct_n", F.lit(0)).cast("bigint").alias("distinct_n"), "low", "high", "violations")

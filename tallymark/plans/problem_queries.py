@@ -55,7 +55,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_discrimination(spark: SparkSession, d: str) -> DataFrame:
-    return _profile(spark, d)["shift"]
+    return profile.discrimination(_profile(spark, d))
 
 
 def p6_values(spark: SparkSession, d: str) -> DataFrame:
@@ -63,11 +63,7 @@ def p6_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_profile(spark: SparkSession, d: str) -> DataFrame:
-    return profile.column_profile(table(spark, d, "declarations"))
+    return profile.column_profile(table(spark, d, "declarations"), patterns=profile.declaration_patterns(table(spark, d, "cif_fob_factor")))
 
 
-def p6_nulls(spark: SparkSession, d: str) -> DataFrame:
-    return p6_profile(spark, d).select("load_no", "column_name", "rows", "nulls", "low", "high").filter("column_name in ('CIFValue', 'FOBValue', 'motCode', 'netWgt', 'refYear')")
-
-
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p5_found, p5_rows, p6_found, p6_profile, p6_nulls, p6_discrimination, p6_values)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p5_found, p5_rows, p6_found, p6_profile, p6_discrimination, p6_values)}

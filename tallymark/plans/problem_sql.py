@@ -123,8 +123,18 @@ SQL["p6_values"] = " UNION ALL ".join(
     for c in ("CIFValue", "FOBValue")
 )
 
-_RANGE = {c: f"MIN({c}) FILTER (WHERE isfinite({c})) AS low, MAX({c}) FILTER (WHERE isfinite({c})) AS high" for c in ("CIFValue", "FOBValue", "netWgt")}
-SQL["p6_nulls"] = " UNION ALL ".join(
-    f"SELECT load_no, '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, {_RANGE.get(c, 'CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high')} FROM declarations GROUP BY load_no"
-    for c in ("CIFValue", "FOBValue", "motCode", "netWgt", "refYear")
-)
+_TEXT = {"cmdCode": "TOTAL|[0-9]{1,6}", "refYear": "[0-9]{4}", "flowCode": "X|M|RX|RM|DX|DM", "classificationCode": "H[0-9]"}
+_NUMBERS = ("id", "matched_id", "reporterCode", "partnerCode", "partner2Code", "qty", "altQty", "netWgt", "grossWgt", "CIFValue", "FOBValue", "primaryValue")
+_BAD = {c: f"NOT regexp_full_match({c}, '{p}')" for c, p in _TEXT.items()} | {c: f"NOT ({c} > 0 AND {c} <= 1e11)" for c in ("CIFValue", "FOBValue", "primaryValue")}
+_BAD["motCode"] = "motCode NOT IN (SELECT motCode FROM cif_fob_factor WHERE motCode IS NOT NULL)"
+
+
+def _column(c: str) -> str:
+    d = f"CAST({c} AS DOUBLE)"
+    low, high = (f"{f}({d}) FILTER (WHERE isfinite({d}))" if c in _NUMBERS else "CAST(NULL AS DOUBLE)" for f in ("MIN", "MAX"))
+    bad = f"COUNT(*) FILTER (WHERE {c} IS NOT NULL AND {_BAD[c]})" if c in _BAD else "CAST(NULL AS BIGINT)"
+    return f"""SELECT load_no, '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, (COUNT(*) - COUNT({c})) / CAST(COUNT(*) AS DOUBLE) AS null_rate,
+  COUNT(DISTINCT {c}) AS distinct_n, {low} AS low, {high} AS high, {bad} AS violations FROM declarations GROUP BY load_no"""
+
+
+SQL["p6_profile"] = " UNION ALL ".join(_column(c) for c in COLUMNS)

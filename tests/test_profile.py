@@ -2,7 +2,11 @@ import statistics
 
 import numpy as np
 
-from tallymark.operators.profile import column_profile, profile, profile_findings, two_sample, value_profile
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark.operators import profile as module
+from tallymark.operators.profile import _fit, column_profile, discrimination, profile, profile_findings, value_profile
 from tallymark.operators.quantiles import exact_quantiles
 
 SCHEMA = "id bigint, load_no int, CIFValue double, FOBValue double, motCode string, column_name string, n int, finding int"
@@ -27,25 +31,66 @@ def test_planted_findings(spark):
     for load, kw in enumerate([{}, {}, {}, {}, {"cif": 6.0}, {"nulls": 0.5}, {"mot": "zz"}, {"out": 0.2}, {"same": True}]):
         rows += rows_of(load, 400, rng, start=load * 1000, **kw)
     got = findings(spark, rows)
-    assert got == {(4, "CIFValue", "shift"), (5, "CIFValue", "null_rate"), (6, "motCode", "pattern"), (6, "motCode", "shift"), (7, "CIFValue", "range"), (8, "CIFValue", "distinct"), (8, "CIFValue", "shift")} - (
-        set() if (8, "CIFValue", "shift") in got else {(8, "CIFValue", "shift")}
-    )
+    # load 8 holds one value, exp(5) / 5 or so: a thirtieth of the others' median
+    assert got == {(4, "CIFValue", "shift"), (5, "CIFValue", "null_rate"), (6, "motCode", "pattern"), (6, "motCode", "shift"), (7, "CIFValue", "range"), (8, "CIFValue", "distinct"), (8, "CIFValue", "shift")}
 
 
 def test_one_load_nulls_only_and_empty(spark):
-    assert findings(spark, [(1, 0, None, None, None, None, None, None), (2, None, None, float("nan"), "0", None, None, None)]) - {(-1, "", "")} is not None
+    two = findings(spark, [(1, 0, None, None, None, None, None, None), (2, None, None, float("nan"), "0", None, None, None)])
+    rates = {(load, c, "null_rate") for load in (0, None) for c in ("FOBValue", "motCode")}  # one of two loads is null: both are half away from the median
+    assert two == rates | {(None, "FOBValue", "range")}
     assert findings(spark, []) == set()
     assert findings(spark, [(1, 0, 1.0, 1.0, "0", "", 1, 1)]) == set()
 
 
-def test_classifier_tells_a_shifted_column_and_no_other():
+def test_models_find_the_weights_of_levels():
     rng = np.random.default_rng(2)
-    v = np.array([(a, b) for a in range(6) for b in range(6)] * 2)
-    fold = np.repeat([0, 1], 36)
-    neg = rng.poisson(100, 72).astype(float)
-    pos = neg * (0.2 + v[:, 0]) / 3
-    (a, whole, alone, lost), (_, _, other, _) = two_sample(v, fold, pos, neg, ["a", "b"])
-    assert a == "a" and whole > 0.65 and alone > 0.65 and lost > 0.1 and abs(other - 0.5) < 0.03
+    x = np.stack([rng.integers(0, 4, 4000), rng.integers(4, 8, 4000)], axis=1)
+    y = rng.random(4000) < 1 / (1 + np.exp(-2.0 * (x[:, 0] == 1)))
+    beta = _fit(x, 8, y)
+    assert beta[1] - beta[[0, 2, 3]].max() > 1.2 and np.ptp(beta[4:8]) < 0.3
+
+
+def loads_with_a_shift(rng, n=600):
+    """Load 3 has other codes; in load 4 CIF and FOB are alike, which no column tells by itself."""
+    rows = []
+    for load in range(6):
+        for i in range(n):
+            cif = float(np.exp(rng.normal(5, 2)))
+            fob = cif if load == 4 else float(np.exp(rng.normal(5, 2)))
+            rows.append((load * n + i, load, cif, fob, "0" if rng.random() < (0.1 if load == 3 else 0.7) else "2100", "x", 1, 2))
+    return rows
+
+
+def test_classifier_tells_a_shifted_column_and_no_other(spark, monkeypatch):
+    monkeypatch.setattr(module, "FEW", 100)
+    codes = spark.createDataFrame([("0", 1.0), ("2100", 1.0)], "motCode string, factor double")
+    got = {(r.load_no, r.column_name): r for r in discrimination(profile(spark.createDataFrame(loads_with_a_shift(np.random.default_rng(0)), SCHEMA), codes)).collect()}
+    assert len(got) == 6 * 7
+    r = got[3, "motCode"]
+    assert r.auc > 0.7 and r.auc_alone > 0.7 and r.auc_lost > 0.15 and r.proposed
+    assert abs(got[3, "CIFValue"].auc_lost) < 0.05 and abs(got[1, "motCode"].auc_alone - 0.5) < 0.08
+
+
+def test_shifts_come_from_the_classifier(spark, monkeypatch):
+    """Without its proposals the exact band gives no shift; all other findings stay."""
+    rng = np.random.default_rng(0)
+    rows = [r for load, kw in enumerate([{}, {}, {}, {"cif": 9.0}, {"mot": "zz"}]) for r in rows_of(load, 300, rng, start=load * 1000, **kw)]
+    assert {(3, "CIFValue", "shift"), (4, "motCode", "shift"), (4, "motCode", "pattern")} <= findings(spark, rows)
+    real = module.discrimination
+    monkeypatch.setattr(module, "discrimination", lambda p: real(p).withColumn("proposed", F.lit(False)))
+    assert {f for f in findings(spark, rows)} == {(4, "motCode", "pattern")}
+
+
+def test_loads_in_blocks_and_a_long_code_table(spark, monkeypatch):
+    rows = loads_with_a_shift(np.random.default_rng(1), 200)
+    codes = spark.createDataFrame([("0", 1.0), ("2100", 1.0)], "motCode string, factor double")
+    of = lambda: sorted((r.load_no, r.column_name, round(r.auc, 9)) for r in discrimination(profile(spark.createDataFrame(rows, SCHEMA), codes)).collect())
+    whole = of()
+    monkeypatch.setattr(module, "LOADS_AT_ONCE", 2)
+    assert of() == whole
+    with pytest.raises(ValueError):
+        profile(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(str(i), 1.0) for i in range(300)], "motCode string, factor double"))
 
 
 def test_exact_medians(spark):
@@ -72,7 +117,7 @@ def test_column_profile(spark):
     rows = [(i, 0, float(i), None, "ab"[i % 2], "x", 1, 1) for i in range(100)] + [(200, None, float("nan"), float("inf"), None, None, None, None)]
     got = {(r.load_no, r.column_name): r for r in column_profile(spark.createDataFrame(rows, SCHEMA)).collect()}
     r = got[0, "CIFValue"]
-    assert (r.rows, r.nulls, r.low, r.high) == (100, 0, 0.0, 99.0) and abs(r.distinct_n - 100) < 20
+    assert (r.rows, r.nulls, r.low, r.high, r.distinct_n, r.violations) == (100, 0, 0.0, 99.0, 100, None)
     assert got[0, "FOBValue"].null_rate == 1.0 and got[0, "motCode"].distinct_n == 2 and got[0, "motCode"].low is None
     assert got[None, "CIFValue"].low is None and got[None, "FOBValue"].high is None
     assert len(got) == 2 * 7
