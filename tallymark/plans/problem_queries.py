@@ -35,7 +35,12 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_base_quantities(spark: SparkSession, d: str) -> DataFrame:
-    return unit_text.convert_units(table(spark, d, "declarations"), table(spark, d, "qty_unit_conversion")).drop("factor")
+    return unit_text.convert_units(table(spark, d, "declarations"), table(spark, d, "qty_unit_conversion")).drop("factor", "stated_by")
+
+
+def p4_coded(spark: SparkSession, d: str) -> DataFrame:
+    """The part whose unit is given by code."""
+    return unit_text.convert_units(table(spark, d, "declarations"), table(spark, d, "qty_unit_conversion")).filter("stated_by = 'code'").select("id", "code", "dimension", "qty_base")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -66,4 +71,4 @@ def p6_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.column_profile(table(spark, d, "declarations"), patterns=profile.declaration_patterns(table(spark, d, "cif_fob_factor")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p5_found, p5_rows, p6_found, p6_profile, p6_discrimination, p6_values)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p4_coded, p5_found, p5_rows, p6_found, p6_profile, p6_discrimination, p6_values)}

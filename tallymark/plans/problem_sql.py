@@ -46,6 +46,11 @@ SELECT field, key_value, COUNT(*) AS n, CAST(SUM(m) AS DOUBLE) AS total FROM (
 ) x GROUP BY field, key_value
 """
 
+SQL["p4_coded"] = """
+SELECT id, trim(u.code) AS code, dimension, CASE WHEN isnan(qty) THEN NULL ELSE qty END * factor_to_base AS qty_base
+FROM declarations d JOIN qty_unit_conversion u ON regexp_replace(d.qtyUnitCode, '^\\s+|\\s+$', '', 'g') = trim(u.code) WHERE dimension IS NOT NULL AND factor_to_base IS NOT NULL
+"""
+
 SQL["p3_found"] = """
 SELECT id, 'netWgt' AS field FROM declarations WHERE netWgt IS NULL OR isnan(netWgt) OR NOT (netWgt > 0) OR isinf(netWgt)
 UNION ALL
