@@ -5,19 +5,19 @@ source's budget is its share of that total. A source that fits its budget severa
 repeated whole; what remains of the budget is a subset-sum problem over the *counts of documents by
 exact token length*, a table whose size is the number of different lengths, not of documents:
 
-1. lengths are taken in proportion, each rounded by a seeded fraction, so the mix keeps the source's
-   length distribution;
-2. single documents are added or taken back, in a seeded order of lengths, until the open budget is
-   inside a window;
-3. a bounded-knapsack dynamic programme (reachable sums as bits, counts split in powers of two)
-   fills the window with the remaining documents as closely as any subset of them can.
+1. all but the last part of the budget - DEPTH times the median length, 65,536 tokens at least - is
+   taken in proportion, each length rounded by a seeded fraction, so the mix keeps the source's length
+   distribution;
+2. a bounded-knapsack dynamic programme (reachable sums as bits in units of the lengths' common
+   divisor, counts split in powers of two) fills that part from all remaining documents as closely as
+   any choice of them can. A budget within that part is fitted by the programme alone, so exactly.
 
 Then each (source, length) gives that many documents, in a seeded hash order. A length that is
 shared by very many documents is split by a hash into salts that are ranked apart.
 
 Defined cases: null and unlisted sources are left out; texts without tokens supply nothing and are
 left out; a listed source without documents, or with share zero or null, supplies nothing and the
-others keep their shares relative to each other; max_repeats null or below one makes a source
+others keep their shares relative to each other; more than SOURCE_ROWS sources are an error; max_repeats null or below one makes a source
 unusable; repeated records count each; empty tables give an empty mix and shares of zero.
 """
 
@@ -32,14 +32,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.tokenise import token_counts
-from tallymark.session import cut_lineage
+from tallymark.session import materialise
 
-WINDOW = 65_536
+#: Least tokens of a source's budget that are left to the exact programme, and the same in documents of median length.
+WINDOW, DEPTH = 65_536, 64
+#: Sums times steps up to which the programme fits a whole budget.
+WHOLE_STEPS = 2**31
 #: Documents of one source and length that are ranked in one task.
 RANKED = 50_000
 #: Lines of the table of lengths up to which it is broadcast.
 LENGTH_ROWS = 500_000
-#: Sources that a mix may have.
+#: Sources that a mix may have; more are an error.
 SOURCE_ROWS = 10_000
 
 
@@ -50,35 +53,45 @@ def _uniform(seed: str, lengths: np.ndarray) -> np.ndarray:
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each length, within counts, for the greatest sum up to budget."""
+    """How many of each length, within counts, for the greatest sum up to budget. Exact: reachable sums as bits,
+    in units of the lengths' common divisor."""
     take = np.zeros(len(lengths), np.int64)
-    mask = (1 << (budget + 1)) - 1
+    usable = (lengths > 0) & (lengths <= budget) & (counts > 0)
+    if budget <= 0 or not usable.any():
+        return take
+    unit = int(np.gcd.reduce(lengths[usable]))
+    most = min(budget // unit, int((lengths[usable] // unit * counts[usable]).sum()))
+    mask = (1 << (most + 1)) - 1
     reach = 1
-    steps: list[tuple[int, int, int]] = []  # (length, how many at once, sums reachable before)
-    for i in range(len(lengths)):
-        w, have = int(lengths[i]), int(counts[i])
-        have = min(have, budget // w) if w > 0 else 0
-        part = 1
-        while have > 0 and not reach >> budget & 1:
+    first = np.zeros(most + 1, np.int32)  # the step by which a sum was first reached
+    steps: list[tuple[int, int]] = [(0, 0)]  # (length, how many at once)
+    for i in np.flatnonzero(usable).tolist():
+        w = int(lengths[i]) // unit
+        have, part = min(int(counts[i]), most // w), 1
+        while have > 0 and not reach >> most & 1:
             part = min(part, have)
-            more = reach | reach << w * part & mask
-            if more != reach:
-                steps.append((i, part, reach))
-                reach = more
+            new = (reach << w * part & mask) & ~reach
+            if new:
+                bits = np.unpackbits(np.frombuffer(new.to_bytes(most // 8 + 1, "little"), np.uint8), bitorder="little")
+                first[np.flatnonzero(bits)] = len(steps)
+                steps.append((i, part))
+                reach |= new
             have -= part
             part *= 2
-        if reach >> budget & 1:
+        if reach >> most & 1:
             break
     at = reach.bit_length() - 1
-    for i, part, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += part
-            at -= int(lengths[i]) * part
+    while at:
+        i, part = steps[first[at]]
+        take[i] += part
+        at -= int(lengths[i]) // unit * part
     return take
 
 
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: str = "", window: int = WINDOW) -> np.ndarray:
-    """How many documents of each length add up to the budget, or as near below it as found."""
+    """How many documents of each length add up to the budget. A budget within the programme's share - `window`
+    tokens, DEPTH times the median length, or all that WHOLE_STEPS allow - is met exactly or as near below as any choice of documents can;
+    beyond it the proportional take leaves at least that share to the programme."""
     lengths, counts = np.asarray(lengths, np.int64), np.asarray(counts, np.int64)
     whole = int((lengths * counts).sum())
     if budget <= 0 or not whole:
@@ -86,35 +99,30 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: str =
     if budget >= whole:
         return counts.copy()
     u = _uniform(seed, lengths)
-    take = np.minimum(counts, np.floor(counts * (budget / whole) + u).astype(np.int64))
     order = np.argsort(u, kind="stable")
-    open_ = budget - int((lengths * take).sum())
-    low = min(window // 2, budget)
-    for i in order.tolist():  # the rounding took too much, or too little for the knapsack to work with
-        if open_ >= low:
-            break
-        if take[i]:
-            n = min(int(take[i]), max(1, -(-(low - open_) // int(lengths[i]))) if open_ < 0 and counts[i] > 1000 else 1)
+    middle = int(lengths[np.searchsorted(np.cumsum(counts), counts.sum() / 2)]) if (np.diff(lengths) > 0).all() else int(np.median(lengths))
+    low = max(window, DEPTH * middle)  # tokens left to the programme
+    if budget // int(np.gcd.reduce(lengths)) * int(np.ceil(np.log2(counts + 1)).sum()) <= WHOLE_STEPS:
+        low = budget
+    take = np.zeros(len(lengths), np.int64)
+    if budget > low:
+        take = np.minimum(counts, np.floor(counts * ((budget - low) / whole) + u).astype(np.int64))
+        over = int((lengths * take).sum()) - (budget - low)
+        for i in order.tolist():  # the rounding took too much
+            if over <= 0:
+                break
+            n = min(int(take[i]), -(-over // int(lengths[i])))
             take[i] -= n
-            open_ += n * int(lengths[i])
-    while open_ < 0:  # a few very long documents
-        i = int(np.argmax(lengths * (take > 0)))
-        take[i] -= 1
-        open_ += int(lengths[i])
+            over -= n * int(lengths[i])
+    open_ = budget - int((lengths * take).sum())
+    left = counts - take
+    # What is left over of the rounding goes in seeded order, while more than twice the programme's share is open.
     for i in order.tolist():
-        if open_ <= window:
+        if open_ <= 2 * low:
             break
-        n = min(int(counts[i] - take[i]), (open_ - low) // int(lengths[i]) if counts[i] > 1000 else int(open_ - low >= lengths[i]))
-        take[i] += max(n, 0)
-        open_ -= max(n, 0) * int(lengths[i])
-    if open_ > window:
-        for i in order.tolist():
-            n = min(int(counts[i] - take[i]), max(open_ - low, 0) // int(lengths[i]))
-            take[i] += n
-            open_ -= n * int(lengths[i])
-    left = counts - take
-    use = order[(left[order] > 0) & (lengths[order] <= open_)]
-    take[use] += knapsack(lengths[use], left[use], min(open_, 4 * window))
+        n = min(int(left[i]), (open_ - low) // int(lengths[i]))
+        take[i], left[i], open_ = take[i] + n, left[i] - n, open_ - n * int(lengths[i])
+    take[order] += knapsack(lengths[order], left[order], open_)
     return take
 
 
@@ -134,10 +142,12 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 8, vocabulary: str
     """((doc_id, source, n_tokens, copies) of the records used, (source, target_share, max_repeats, records, tokens_available, records_used, tokens_used, actual_share))."""
     spark = documents.sparkSession
     named = targets.filter(F.col("source").isNotNull()).groupBy("source").agg(F.max("target_share").cast("double").alias("target_share"), F.max("max_repeats").cast("int").alias("max_repeats"))
-    wanted = named.limit(SOURCE_ROWS).toPandas()  # a reference table of a few rows
+    wanted = named.limit(SOURCE_ROWS + 1).toPandas()  # a reference table of a few rows
+    if len(wanted) > SOURCE_ROWS:
+        raise ValueError(f"more than {SOURCE_ROWS} sources")
     names = wanted.source.tolist()
     listed = documents.filter(F.col("source").isin(names)) if names else documents.filter(F.lit(False))
-    counted = cut_lineage(token_counts(listed, [F.col(id_col).cast("bigint").alias("doc_id"), "source"], vocabulary=vocabulary)).filter("n_tokens > 0")
+    counted = materialise(token_counts(listed, [F.col(id_col).cast("bigint").alias("doc_id"), "source"], vocabulary=vocabulary)).filter("n_tokens > 0")
     lengths = counted.groupBy("source", "n_tokens").agg(F.count(F.lit(1)).alias("n"))
     totals = lengths.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n")).alias("tokens"), F.sum("n").alias("records")).toPandas()
     plan = _plan(totals, wanted)
@@ -148,7 +158,7 @@ def mix(documents: DataFrame, targets: DataFrame, seed: int = 8, vocabulary: str
         pdf["take"] = fit_budget(pdf.n_tokens.to_numpy(), pdf.n.to_numpy(), int(pdf.rest[0]), f"{seed}:{pdf.source[0]}")
         return pdf[["source", "n_tokens", "n", "take", "full"]]
 
-    fitted = cut_lineage(lengths.join(F.broadcast(budget), "source").groupBy("source").applyInPandas(fit, "source string, n_tokens int, n bigint, take bigint, full bigint"))
+    fitted = materialise(lengths.join(F.broadcast(budget), "source").groupBy("source").applyInPandas(fit, "source string, n_tokens int, n bigint, take bigint, full bigint"))
     fitted = fitted.withColumn("salts", F.ceil(F.col("n") / RANKED).cast("int"))
     small = fitted.limit(LENGTH_ROWS + 1).count() <= LENGTH_ROWS
     order = F.xxhash64("doc_id", F.lit(seed))
