@@ -48,7 +48,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_rows(spark: SparkSession, d: str) -> DataFrame:
-    return rowparse.typed_rows(rowparse.parse_rows(table(spark, d, "raw_lines")))
+    """The typed rows; other columns as lines of name=value in order of name."""
+    rows = rowparse.typed_rows(rowparse.parse_rows(table(spark, d, "raw_lines")))
+    lines = F.transform(F.array_sort(F.map_entries("other")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.withColumn("other", F.array_join(lines, "\n"))
+
+
+def p5_repairs(spark: SparkSession, d: str) -> DataFrame:
+    return rowparse.repairs(rowparse.parse_rows(table(spark, d, "raw_lines")))
 
 
 def _profile(spark: SparkSession, d: str) -> dict:
@@ -71,4 +78,4 @@ def p6_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.column_profile(table(spark, d, "declarations"), patterns=profile.declaration_patterns(table(spark, d, "cif_fob_factor")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p4_coded, p5_found, p5_rows, p6_found, p6_profile, p6_discrimination, p6_values)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p4_coded, p5_found, p5_rows, p5_repairs, p6_found, p6_profile, p6_discrimination, p6_values)}

@@ -6,6 +6,8 @@ p3 and the classifier of p6 have none either; p3_found and p6_found do.
 
 from __future__ import annotations
 
+from tallymark.operators.rowparse import TYPED
+
 SQL: dict[str, str] = {}
 
 SQL["p1_found"] = """
@@ -63,34 +65,50 @@ def _p5(sep: str, name: str) -> str:
     """Records of the files with one separator: r(raw_id, quoted_ok, f, h)."""
     field = f'("(?:[^"]|"")*"|[^"{sep}]*)'
     return f"""{name} AS (
-  SELECT raw_id, regexp_full_match(line, '(?s){field}(?:{sep}{field})*') AS ok,
+  SELECT raw_id, file_name, line_no, regexp_full_match(line, '(?s){field}(?:{sep}{field})*') AS ok,
          regexp_extract_all(line || '{sep}', '(?s){field}{sep}', 1) AS f, regexp_extract_all(header || '{sep}', '(?s){field}{sep}', 1) AS h
   FROM lines WHERE (strpos(header, chr(9)) > 0) = {"TRUE" if sep == chr(9) else "FALSE"}
 )"""
 
 
-SQL["p5_found"] = f"""
+_P5 = f"""
 WITH heads AS (SELECT file_name, arg_min(line, raw_id) AS header FROM raw_lines WHERE line_no = 1 GROUP BY file_name),
-lines AS (SELECT r.raw_id, COALESCE(r.line, '') AS line, heads.header FROM raw_lines r JOIN heads USING (file_name) WHERE r.line_no <> 1),
+lines AS (SELECT r.raw_id, r.file_name, r.line_no, COALESCE(r.line, '') AS line, heads.header FROM raw_lines r JOIN heads USING (file_name) WHERE r.line_no <> 1),
 {_p5(chr(9), "tabs")}, {_p5(",", "commas")},
 r AS (SELECT * FROM tabs UNION ALL SELECT * FROM commas),
 n AS (
-  SELECT raw_id, ok, len(f) AS n, len(h) AS columns, [lower(trim(x, ' "')) FOR x IN h] AS names,
-         [trim(CASE WHEN starts_with(x, '"') THEN replace(substr(x, 2, length(x) - 2), '""', '"') ELSE x END) FOR x IN f] AS f
+  SELECT raw_id, file_name, line_no, ok, len(f) AS n, len(h) AS columns, [lower(trim(x, ' "')) FOR x IN h] AS names,
+         [CASE WHEN starts_with(x, '"') THEN replace(substr(x, 2, length(x) - 2), '""', '"') ELSE x END FOR x IN f] AS f
   FROM r
 ),
 v AS (
-  SELECT raw_id, CASE WHEN list_contains(names, 'cmdcode') THEN f[list_position(names, 'cmdcode')] END AS cmd,
-         CASE WHEN list_contains(names, 'refyear') THEN f[list_position(names, 'refyear')] END AS yr,
-         CASE WHEN list_contains(names, 'flowcode') THEN f[list_position(names, 'flowcode')] END AS flow
+  SELECT raw_id, CASE WHEN list_contains(names, 'cmdcode') THEN trim(f[list_position(names, 'cmdcode')]) END AS cmd,
+         CASE WHEN list_contains(names, 'refyear') THEN trim(f[list_position(names, 'refyear')]) END AS yr,
+         CASE WHEN list_contains(names, 'flowcode') THEN trim(f[list_position(names, 'flowcode')]) END AS flow
   FROM n WHERE ok AND n = columns
-)
+), found AS (
 SELECT raw_id, 'quoting' AS reason FROM n WHERE NOT ok
 UNION ALL SELECT raw_id, 'column_count' FROM n WHERE ok AND n <> columns
 UNION ALL SELECT raw_id, 'invalid_cmdCode' FROM v WHERE cmd IS NOT NULL AND NOT (cmd = 'TOTAL' OR (regexp_full_match(cmd, '[0-9]{{1,6}}') AND regexp_matches(cmd, '[1-9]')))
 UNION ALL SELECT raw_id, 'invalid_refYear' FROM v WHERE yr IS NOT NULL AND NOT (CASE WHEN regexp_full_match(yr, '[0-9]{{4}}') THEN CAST(yr AS INTEGER) BETWEEN 1962 AND 2030 ELSE FALSE END)
 UNION ALL SELECT raw_id, 'invalid_flowCode' FROM v WHERE flow IS NOT NULL AND NOT regexp_full_match(flow, '[XM]|[RD][XM]|[xm]|[rRdD][xXmM]')
+)
 """
+SQL["p5_found"] = _P5 + "SELECT * FROM found"
+
+
+def _typed(key: str, name: str, kind: str) -> str:
+    text = f"NULLIF(trim(CASE WHEN list_contains(names, '{key}') THEN f[list_position(names, '{key}')] END, ' '), '')"
+    return f"upper({text}) AS flowCode" if name == "flowCode" else f"{text} AS {name}" if kind == "string" else f"TRY_CAST({text} AS {kind}) AS {name}"
+
+
+_OTHER = ", ".join(f"'{k}'" for k in TYPED)
+SQL["p5_rows"] = (
+    _P5
+    + f"""SELECT raw_id, file_name, line_no, {', '.join(_typed(k, *v) for k, v in TYPED.items())},
+  array_to_string(list_sort([x FOR x IN [CASE WHEN names[i] NOT IN ({_OTHER}) THEN names[i] || '=' || f[i] END FOR i IN range(1, columns + 1)] IF x IS NOT NULL]), chr(10)) AS other
+FROM n WHERE ok AND n = columns AND raw_id NOT IN (SELECT raw_id FROM found)"""
+)
 
 #: Columns of declarations that a null rate is given for.
 COLUMNS = (

@@ -4,8 +4,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallymark.functions.rowgrammar import reason_of, repair, split
-from tallymark.operators.rowparse import parse_rows, rejected_rows, typed_rows
+from tallymark.functions.rowgrammar import reason_of, repair, repair_many, split
+from tallymark.operators import rowparse
+from tallymark.operators.rowparse import parse_rows, rejected_rows, repairs, typed_rows
 
 
 @pytest.mark.parametrize(
@@ -86,3 +87,52 @@ def test_columns_without_a_type_are_kept(spark):
     raw = spark.createDataFrame([(i, "f", i, line) for i, line in enumerate(lines, 1)], "raw_id bigint, file_name string, line_no int, line string")
     got = {r.raw_id: (r.refYear, r.other) for r in typed_rows(parse_rows(raw)).collect()}
     assert got == {2: (2020, {"remark": "late, again", "note 2": ""}), 3: (2021, {"remark": "", "note 2": " x "})}
+
+
+def applied(line, sep, edits):
+    """The record after its quote edits and inserted delimiters; deleted delimiters are left out of the count."""
+    shift, gone = 0, 0
+    for e in edits:
+        what, at = e.rsplit(" at ", 1)
+        at = int(at) + shift
+        if what == "delete delimiter":
+            gone += 1
+        elif what.startswith("insert"):
+            line, shift = line[:at] + ('"' if what == "insert quote" else sep) + line[at:], shift + 1
+        else:
+            line, shift = line[:at] + line[at + 1 :], shift - 1
+    return line, gone
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text('ab",\n', max_size=9), min_size=1, max_size=5), st.integers(1, 4))
+def test_edits_give_a_record_of_the_grammar(lines, columns):
+    got = repair_many(lines, ",", columns)
+    for line, (quotes, delimiters, edits) in zip(lines, got):
+        assert len(edits) == quotes + delimiters and (quotes, delimiters) == repair(line, ",", columns)
+        fixed, gone = applied(line, ",", edits)
+        fields = split(fixed, ",")
+        assert fields is not None and len(fields) - gone == columns
+
+
+def test_counts_do_not_saturate():
+    assert repair(",".join("x" * 201), ",", 3) == (0, 198)
+    assert repair("x", ",", 300) == (0, 299)
+    assert repair_many(["a,b", ""], ",", 0) == [(0, 2, ["delete delimiter at 1", "delete field at 0"]), (0, 1, ["delete field at 0"])]
+
+
+def test_edits_are_the_reason(spark):
+    rows = [(1, "f", 1, "a,b"), (2, "f", 2, '"x,y'), (3, "f", 3, "x,y,z"), (4, "f", 4, "x"), (5, "f", 5, 'x,"y"')]
+    raw = spark.createDataFrame(rows, "raw_id bigint, file_name string, line_no int, line string")
+    got = {r.raw_id: (r.quote_edits, r.delimiter_edits, r.edits) for r in repairs(parse_rows(raw)).collect()}
+    assert got == {2: (1, 0, ["delete quote at 0"]), 3: (0, 1, got[3][2]), 4: (0, 1, ["insert delimiter at 1"])} and got[3][2][0].startswith("delete delimiter")
+
+
+def test_headers_that_are_not_broadcast_give_the_same(spark, monkeypatch):
+    rows = [(f * 100 + i, f"f{f}", i, "refYear,flowCode" if i == 1 else f"20{i:02},X" if i % 3 else "2020,Q,1") for f in range(4) for i in range(1, 30 * (f == 0) + 5)]
+    raw = spark.createDataFrame([*rows, (9000, "none", 2, "a,b")], "raw_id bigint, file_name string, line_no int, line string")
+    every = lambda: (sorted(map(str, rejected_rows(parse_rows(raw)).collect())), sorted(map(str, typed_rows(parse_rows(raw)).collect())))
+    want = every()
+    monkeypatch.setattr(rowparse, "HEAD_ROWS", 0)
+    monkeypatch.setattr(rowparse, "FILE_ROWS", 7)
+    assert every() == want
