@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import html
 import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 
 from tallymark.session import materialise, spread
 
-#: Hosts over which unknown wording must recur to count as fixed wording.
-LEAST_HOSTS = 4
+#: Hosts over which unknown wording must recur to count as fixed wording: so many, and this share of all hosts.
+LEAST_HOSTS, HOST_SHARE = 4, 1e-4
 #: Slots of the filter of wordings whose hosts are counted over all documents: bounds what the driver and tasks hold.
 WORDING_SLOTS = 2**18
 
@@ -71,8 +72,10 @@ _ANGLE_TAGS = frozenset("title address summary main body text code name label fo
 _SLOT = re.compile(
     r"\{\{\s*([\w ./-]{1,40}?)\s*\}\}|\{%\s*([\w ./-]{1,40}?)\s*%\}|<%=?\s*([\w ./-]{1,40}?)\s*%>|\$\{\s*([\w ./-]{1,40}?)\s*\}|#\{\s*([\w ./-]{1,40}?)\s*\}|\$\(\s*([\w ./-]{1,40}?)\s*\)|"
     r"%%\s*([\w ./-]{1,40}?)\s*%%|@@\s*([\w ./-]{1,40}?)\s*@@|\[\[\s*([\w ./-]{1,40}?)\s*\]\]|«\s*([\w ./-]{1,40}?)\s*»|__([A-Z][A-Z_]{1,38}[A-Z])__|<([A-Za-z][A-Za-z _-]{1,40})>|"
-    r"\[([A-Z][A-Z _-]{2,40}|(?:your|insert) [a-z _-]{2,40})\]|\{([A-Za-z][A-Za-z_ ]{1,30})\}|\b(YOUR_[A-Z_]{2,40})\b|\b(?:INSERT|ENTER|ADD)_([A-Z_]{2,40})\b"
+    r"\[([A-Z][A-Z _-]{2,40}|(?:your|insert) [a-z _-]{2,40})\]|\{([A-Za-z][A-Za-z_ ]{1,30})\}"
 )
+#: Slots without brackets: apart, so that the pattern above starts with one of a few signs and is searched fast.
+_WORD_SLOT = re.compile(r"\b(YOUR_[A-Z_]{2,40})\b|\b(?:INSERT|ENTER|ADD)_([A-Z_]{2,40})\b")
 #: What stands for a slot in a segment.
 HOLE = "␟"
 
@@ -122,21 +125,35 @@ _DROPPED = re.compile(r"(?is)<(style|script|nav|footer|label|address|select|svg|
 _TITLE = re.compile(r"(?is)<(title|h1)\b[^<>]*>(.*?)</\1\s*>")
 _TAG = re.compile(r"</?[a-zA-Z!?][^<>]{0,2000}>")
 _HOSTNAME = re.compile(r"\b(?:[a-z0-9-]+\.)+(?:test|invalid|example|com|org|net|io|local)\b(?::\d+)?", re.I)
-_HEX = re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b")
+_HEX_RUN = re.compile(r"[0-9a-f]{6,}")
 _MARK = re.compile(r"^(?:\s*(?:#+|//+|--+|/?\*+/?|;+|%+|>+|\"\"\"|'''|[-+•·]))*\s*")
 _COMMENT = re.compile(r"\s*(?:#|//|--|/?\*|;|%|\"\"\"|'''|<!)")
 _MARK_END = re.compile(r"\s*(?:\*/|-->)\s*$")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\s+[|·–—]\s+|\s*\|\s*")
 _WORD = re.compile(r"[^\W\d_]+")
 _HEADER = re.compile(r"^[A-Za-z][A-Za-z-]{1,40}:\s.*$")
-_PLAIN_CODE = re.compile(r"[{}=<>\[\]]|\w\(|\(\)|;\s*$")
-_CODE = re.compile(r"[{}=<>\[\]]|\w\(|\(\)|;\s*$")
-#: A line that is code whatever stands in it, and the signs of a slot, before which nothing is sure.
-_SURE_CODE = re.compile(r"(?m)^(?![^\n]*(?:\{\{|\{%|<%|\$\{|#\{|\$\(|%%|@@|\[\[|«|__[A-Z]|YOUR_|<[A-Za-z]|\{[A-Za-z]|\[[A-Z]))[^\n]*[;{}(),:\]]\r?$")
-_NOT_CODE = re.compile(r"(?m)[^\s;{}(),:\]]\r?$")
+_BRACKET = re.compile(r"[{}=<>\[\]]")
+_CALL = re.compile(r"\w\(|\(\)|;\s*$")
+#: Holds wherever _SENTENCE does, and is found faster.
+_BREAK = re.compile(r"[.!?]\s|[。！？|]|\s[·–—]\s")
 _CODE = re.compile(r"[{}();=<>\[\]]|^\s*(?:import|from|package|export|def|class|return|const|let|var|function)\b")
 
 
+def _plain_code(line: str) -> bool:
+    return bool(_BRACKET.search(line)) or ("(" in line or ";" in line) and bool(_CALL.search(line))
+
+
+def _sentences(line: str) -> list[str]:
+    return _SENTENCE.split(line) if _BREAK.search(line) else [line]
+
+
+def _key(m: re.Match) -> str:
+    """0 for a key of six or more hexadecimal signs with a digit, standing by itself."""
+    t, (i, j) = m.string, m.span()
+    inside = i and (t[i - 1].isalnum() or t[i - 1] == "_") or j < len(t) and (t[j].isalnum() or t[j] == "_")
+    return m[0] if inside or m[0].isalpha() else "0"
+
+
 def _field(inner: str) -> bool:
     t = re.sub(r"[_./-]+", " ", inner).strip().lower()
     t = re.sub(r"^(your|insert|enter|the|my|add)\s+|\s+(here)$", "", t)
@@ -158,7 +175,10 @@ def _holes(text: str) -> tuple[str, int, int]:
         fields += 1
         return HOLE
 
-    return _SLOT.sub(one, text), fields, others
+    text = _SLOT.sub(one, text)
+    if "YOUR_" in text or "T_" in text or "R_" in text or "ADD_" in text:
+        text = _WORD_SLOT.sub(one, text)
+    return text, fields, others
 
 
 class Verdict:
@@ -170,14 +190,14 @@ class Verdict:
 
 def _explain(s: str, form: bool) -> str | None:
     """Kind of a segment: ''. nothing to explain; status, message, filler, form, furniture; None: unknown."""
-    s = _HEX.sub(" ", _HOSTNAME.sub(" ", s) if "." in s else s).strip()
+    s = _HEX_RUN.sub(lambda m: " " if _key(m) == "0" else m[0], _HOSTNAME.sub(" ", s) if "." in s else s).strip()
     t = " ".join(s.lower().split()).strip(" .,:;!?…-–—*_`'\"()[]{}/\\=&©#")
     words = _WORD.findall(t)
     if not words:
         return "form" if HOLE in s else ""
     if HOLE in s:
         return "form" if form else None
-    if _PLAIN_CODE.search(s):
+    if _plain_code(s):
         return None
     if t in FURNITURE:
         return "furniture"
@@ -197,7 +217,7 @@ def _explain(s: str, form: bool) -> str | None:
 
 def _visible(t: str, titles: list[str]) -> list[str]:
     """Visible lines of a text; its titles are put apart."""
-    if t.startswith("HTTP/"):
+    if t[:5] in ("HTTP/", "http/"):
         head, _, body = t.replace("\r\n", "\n").partition("\n\n")
         lines = head.split("\n")
         t = "\n".join([lines[0], *[x for x in lines[1:] if not _HEADER.match(x)], body])
@@ -248,18 +268,22 @@ def judge(text: str, path: str | None = None) -> Verdict:
     form = v.form = fields >= 2 and others <= fields // 4
     if form:
         t = filled
-    pieces = _visible(t, v.titles)
+    pieces = []
+    for marked in _visible(t, v.titles):
+        p = _bare(marked)
+        if p:
+            # Code stays unknown, whatever its host evidence: a file that has any is settled, and nothing else is asked.
+            if not form and _plain_code(p) and HOLE not in p and (len(pieces) > 1 or not _ORIGIN.match(p)) and _WORD.search(p) and _CODE.search(wording(p)):
+                v.own = True
+                return v
+            pieces.append((marked, p))
     for title in v.titles:
         kind = _explain(title, form)
         if kind is None and any(_explain(x, form) == "status" for x in re.split(r"\s*[-–—|:]\s*", title)):
             kind = "status"
         v.evidence += kind in ("status", "message", "filler", "form") or bool(re.fullmatch(r"\W*[45]\d\d\W*", title))
     at, plain = 0, False
-    for p in pieces:
-        marked = p
-        p = _bare(p)
-        if not p:
-            continue
+    for marked, p in pieces:
         at += 1
         if at <= 2 and (_ORIGIN.match(p) or at == 1 and marked.startswith("# ") and len(p.split()) <= 4 and _explain(p, form) is None):
             v.titles.append(p)  # where it was copied from, or the heading of a page of text
@@ -267,8 +291,8 @@ def judge(text: str, path: str | None = None) -> Verdict:
         if not _WORD.search(p) and HOLE not in p:
             continue
         plain |= not _COMMENT.match(marked)
-        code = HOLE not in p and bool(_PLAIN_CODE.search(p))
-        for s in [p] if code else _SENTENCE.split(p):
+        code = HOLE not in p and _plain_code(p)
+        for s in [p] if code else _sentences(p):
             kind = None if code else _explain(s, form)
             if kind is None:
                 v.unknown.append(s)
@@ -282,10 +306,16 @@ def judge(text: str, path: str | None = None) -> Verdict:
     return v
 
 
+_DIGITS = re.compile(r"\d+")
+
+
+def _masked(text: str) -> str:
+    return _DIGITS.sub("0", _HEX_RUN.sub(_key, text.lower()))
+
+
 def wording(segment: str) -> str:
-    """A segment as host evidence counts it: lower case, numbers and keys before a separator masked."""
-    s = re.sub(r"\d+", "#", _HEX.sub("#", segment.lower()))
-    return " ".join(s.split()).strip(" .,:;!?…\"'")
+    """A segment as host evidence counts it: lower case, numbers and keys masked."""
+    return " ".join(_masked(segment).split()).strip(" .,:;!?…\"'")
 
 
 def _slug_terms(path: str | None, repo: str | None) -> set[str]:
@@ -338,11 +368,12 @@ def _holders(slots: bytes):
                 t = (text or "").lstrip("\ufeff \t\r\n")
                 if repo is None or not t:
                     continue
-                for p in map(_bare, _visible(t, [])):
+                whole = "&#" not in t  # masked at once, unless signs are written as numbers
+                for p in map(_bare, _visible(_masked(t) if whole else t, [])):
                     if not p:
                         continue
-                    for s in [p] if _PLAIN_CODE.search(p) else _SENTENCE.split(p):
-                        w = wording(s)
+                    for s in [p] if _plain_code(p) else _sentences(p):
+                        w = " ".join(s.split()).strip(" .,:;!?…\"'") if whole else wording(s)
                         if slots[zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORDING_SLOTS]:
                             found.add((w, repo))
             segments, hosts = zip(*found) if found else ((), ())
@@ -357,6 +388,8 @@ def find_residue(documents: DataFrame, least_hosts: int = LEAST_HOSTS) -> DataFr
     The texts are judged once, and read again to count the hosts of the wordings in doubt; what is
     shuffled is these few segments. Host counts are distinct (segment, host) pairs reduced map-side, so a segment that half
     of all hosts share is no burden."""
+    hosts = documents.select(F.col("repo").cast("string")).filter("repo is not null").distinct().count()
+    least_hosts = max(least_hosts, math.ceil(HOST_SHARE * hosts))
     cut = spread(documents.select("doc_id", F.col("repo").cast("string").alias("repo"), F.col("path").cast("string").alias("path"), "text"))
     # Three steps read the few documents that might be residue: they are written once, not judged anew.
     seen = materialise(cut.mapInArrow(_judge, "doc_id bigint, host string, name string, unknown array<string>"))

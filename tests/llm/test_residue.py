@@ -1,5 +1,8 @@
+import re
+
 import pytest
 
+from tallymark.llm import residue
 from tallymark.llm.residue import find_residue, judge
 
 LOREM = "Lorem ipsum dolor sit amet. Consectetur adipiscing elit sed."
@@ -116,3 +119,21 @@ def test_scripts_and_data_alike_in_little_are_no_residue(spark):
     for texts in (shell, data):
         rows = [(i, t, f"r{i}", f"src/{'abcdef'[i]}x.sh", "x", 1, "y") for i, t in enumerate(texts)]
         assert find_residue(spark.createDataFrame(rows, SCHEMA)).count() == 0
+
+
+def test_fixed_wording_grows_with_the_corpus(spark, monkeypatch):
+    """The number of hosts asked for is a share of all hosts, four at least."""
+    page = "<html><title>500</title><body><h1>500</h1><p>Kwyjibo handlers have left the building.</p></body></html>"
+    texts = [page] * 6 + [f"x{i} = f({i});" for i in range(40)]
+    df = docs(spark, texts, repo=lambda i: f"r{i}")
+    assert find_residue(df).count() == 6
+    monkeypatch.setattr(residue, "HOST_SHARE", 0.2)
+    assert find_residue(df).count() == 0
+
+
+def test_fast_masks_and_sentences_agree_with_plain_ones():
+    texts = ["a1b2c3d4 deadbeef 12ab x0123456789 0123456_ f00dfeed.", "one. two! three? four", "A | B|C · d – e", "見ました。次！", "v1.2 ; f(x) a;", "", "9" * 50 + "abc" * 9]
+    for t in texts:
+        assert residue._masked(t) == re.sub(r"\d+", "0", re.sub(r"\b(?=[0-9a-f]*\d)[0-9a-f]{6,}\b", "0", t.lower()))
+        assert residue._sentences(t) == residue._SENTENCE.split(t)
+        assert residue._plain_code(t) == bool(re.search(r"[{}=<>\[\]]|\w\(|\(\)|;\s*$", t))
