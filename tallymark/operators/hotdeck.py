@@ -1,21 +1,24 @@
 """Filling missing values from similar records: a blocked nearest-neighbour hot-deck.
 
-1. Records are hash-blocked on observed features (by default good and flow). The donors of a block
-   that holds more than `block_rows` rows, or more than 1/20,000 of the table, are split evenly by a
-   hash of the record id; each missing value of the block meets every shard, and the closest donors
-   of all shards are merged, so results do not depend on the split.
+1. Records are hash-blocked on observed features (by default good and flow). A block of up to
+   `block_rows` records is searched in one task.
 2. Inside a block, the `neighbours` closest donors by the mixed (Gower) distance over the features
    observed on both records are kept. The k donors on each side in several orders (reporter-year-value,
    value, gross weight, reporter-gross weight) give a first bound; then every donor is looked at that
    is not farther than the bound by the feature that weighs most alone, so the search is exact.
-3. A numeric field gets the weighted median of the donors' values - always the value of one of
+3. The donors of a larger block are cut into shards of about `block_rows`, in order of gross weight, or
+   of value where that is not observed; each shard is described by a box (range of every feature,
+   reporters). A missing value first meets the shard whose box is nearest; the distance of the last
+   donor kept there is a bound, and it then meets exactly the shards whose boxes are not farther. So a
+   search sees all donors that matter, whatever the size of the block, and few shards of many.
+4. A numeric field gets the weighted median of the donors' values - always the value of one of
    them, whose id is given; a categorical field gets the weighted majority.
-4. A record whose block has no donor gets the median or majority of its chapter and flow, else of
+5. A record whose block has no donor gets the median or majority of its chapter and flow, else of
    the whole table (`level` says which; those levels have no single donor).
 
-Memory of a task is bounded by one shard's donors and a batch of records to fill, which are streamed.
-Shuffled once, numeric columns only (missing values of a large block once a shard); the table of large
-blocks that is broadcast has at most 20,000 rows by construction.
+All sizes are fixed numbers, none depends on the size of the table. Memory of a task is bounded by one
+shard's donors and a batch of records to fill, which are streamed; records that ask one shard are split
+into salts of `ASKED`. The table of large blocks is broadcast under a checked size.
 
 Defined cases: every missing value comes out, with null as the fill if no row of the table has a
 value; null features are left out of the distance; ties go to the lower donor id; repeated rows are
@@ -42,6 +45,12 @@ PAIRS = 1_000_000
 SPACING, REACH = 2048.0, 900.0
 #: Added to bounds, far above the rounding of such sums: only exact distances decide.
 SLACK = 1e-4
+#: Records that ask one shard in one task.
+ASKED = 200_000
+#: Large blocks up to which their table is broadcast (two numbers each).
+LARGE_BLOCKS = 500_000
+#: Bins of the order of donors per unit of its axis, and where the axis of donors without gross weight (or value) begins.
+AXIS_BINS, AXIS_STEP = 64, 1000.0
 RESULT = "id bigint, grp int, field tinyint, fill double, donor_id bigint, distance double"
 
 
@@ -269,7 +278,7 @@ CANDIDATES = "row bigint, id bigint, grp int, copies bigint, field tinyint, cand
 def _shard_kernel(k: int, neighbours: int):
     """The closest donors in a shard of a large block for each record of the block with a missing value.
 
-    Rows come in order of good, shard and role: the donors of a shard are held, then records stream past."""
+    Rows come in order of good, shard, salt and role: the donors of a shard are held, then records stream past."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def numbers(b: pa.RecordBatch) -> dict[str, np.ndarray]:
@@ -302,16 +311,16 @@ def _shard_kernel(k: int, neighbours: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            keys = [b.column(n).to_numpy(zero_copy_only=False) for n in ("good", "shard", "role")]
+            keys = [b.column(n).to_numpy(zero_copy_only=False) for n in ("good", "shard", "salt", "role")]
             new = np.zeros(b.num_rows, bool)
             for x in keys:
                 new[1:] |= x[1:] != x[:-1]
             cuts = np.r_[0, np.flatnonzero(new), b.num_rows]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                if (at := (keys[0][lo], keys[1][lo])) != shard:
+                if (at := (keys[0][lo], keys[1][lo], keys[2][lo])) != shard:
                     held, shard = [], at
                 part = numbers(b.slice(lo, hi - lo))
-                if keys[2][lo] == 0:
+                if keys[3][lo] == 0:
                     held.append(part)
                 else:
                     yield solve(held, part)
@@ -341,17 +350,74 @@ def _chosen(neighbours: int):
     return run
 
 
-def _split_blocks(rows: DataFrame, large: DataFrame, k: int, neighbours: int) -> DataFrame:
-    """RESULT of the blocks whose donors are split over shards."""
-    rows = rows.join(F.broadcast(large), "good").select("good", "shards", *FEATURES)
-    tail = lambda t, role: t.select("good", "shard", F.lit(role).alias("role"), *FEATURES, "row", "copies")
-    donors = rows.filter("num is not null or cat is not null").withColumns({"shard": F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"), "row": F.lit(0).cast("bigint"), "copies": F.lit(1).cast("bigint")})
-    asking = rows.filter("num is null or cat is null").groupBy("good", "shards", *FEATURES).agg(F.count(F.lit(1)).alias("copies"))
-    asking = asking.withColumns({"row": F.xxhash64("good", *FEATURES), "shard": F.explode(F.sequence(F.lit(0), F.col("shards") - 1))})
-    found = tail(donors, 0).unionByName(tail(asking, 1)).repartition("good", "shard").sortWithinPartitions("good", "shard", "role").mapInArrow(_shard_kernel(k, neighbours), CANDIDATES)
+def _shards(donors: DataFrame, block_rows: int) -> DataFrame:
+    """donors with their shard: consecutive bins of the axis, of block_rows donors or up to twice as many; a bin
+    that holds more (one value for many) is split by a hash of the id."""
+    axis = F.coalesce(F.col("logg"), F.col("logv") + AXIS_STEP, F.lit(2 * AXIS_STEP))
+    binned = donors.withColumn("bin", F.floor(axis * AXIS_BINS).cast("bigint"))
+    sizes = binned.groupBy("good", "bin").agg(F.count(F.lit(1)).alias("n"))
+    small = F.when(F.col("n") <= block_rows, F.col("n")).otherwise(0)
+    before = F.coalesce(F.sum(small).over(Window.partitionBy("good").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # a row for each bin of a block: some thousands a block
+    table = materialise(
+        sizes.select("good", "bin", F.when(F.col("n") <= block_rows, F.floor(before / block_rows)).otherwise(F.lit(1 << 40) + F.col("bin")).alias("first"), F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
+    )
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0)
+    return binned.join(table, ["good", "bin"]).select("good", (F.shiftleft("first", 16) + part).alias("shard"), *FEATURES)
+
+
+def _boxes(placed: DataFrame) -> DataFrame:
+    """(good, shard, range of each feature that all its donors have, reporters as bits of a hash)."""
+    span = lambda c: [F.when(F.count(c) == F.count(F.lit(1)), f(c)).cast("double").alias(f"{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max))]
+    return placed.groupBy("good", "shard").agg(*span("year"), *span("logv"), *span("logg"), F.bit_or(_bit()).alias("reporters"))
+
+
+def _bit() -> Column:
+    return F.expr("shiftleft(1L, pmod(hash(reporter), 64))")
+
+
+def _least() -> Column:
+    """No donor of the box is closer to the record than this."""
+    total, weight = F.when(F.col("reporters").bitwiseAND(_bit()) == 0, 0.5).otherwise(0.0), F.lit(0.5)
+    for c, scale, w in (("year", 10.0, 0.5), ("logv", 3.0, 2.0), ("logg", 3.0, 4.0)):
+        a = F.col(c).cast("double")
+        gap = F.greatest(F.lit(0.0), F.col(f"lo_{c}") - a, a - F.col(f"hi_{c}")) / scale
+        known = a.isNotNull() & F.col(f"lo_{c}").isNotNull()
+        total = total + F.when(known, F.least(gap, F.lit(1.0)) * w).otherwise(0.0)
+        weight = weight + F.when(a.isNotNull(), w).otherwise(0.0)
+    return total / weight
+
+
+def _search_shards(placed: DataFrame, asks: DataFrame, k: int, neighbours: int) -> DataFrame:
+    """CANDIDATES of the records in asks, each in the shard it asks."""
+    crowded = materialise(asks.groupBy("good", "shard").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("salts")).filter("salts > 1"))  # a row for every ASKED records at most
+    donors = placed.join(crowded, ["good", "shard"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    donors = donors.select("good", "shard", "salt", F.lit(0).alias("role"), *FEATURES, F.lit(0).cast("bigint").alias("row"), F.lit(1).cast("bigint").alias("copies"))
+    asking = asks.join(crowded, ["good", "shard"], "left").withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int"))
+    asking = asking.select("good", "shard", "salt", F.lit(1).alias("role"), *FEATURES, "row", "copies")
+    both = donors.unionByName(asking).repartition("good", "shard", "salt").sortWithinPartitions("good", "shard", "salt", "role")
+    return both.mapInArrow(_shard_kernel(k, neighbours), CANDIDATES)
+
+
+def _split_blocks(rows: DataFrame, block_rows: int, k: int, neighbours: int) -> DataFrame:
+    """RESULT of the blocks whose donors are cut into shards."""
+    placed = materialise(_shards(rows.filter("num is not null or cat is not null"), block_rows))
+    boxes = materialise(_boxes(placed))
+    asking = rows.filter("num is null or cat is null").groupBy("good", *FEATURES).agg(F.count(F.lit(1)).alias("copies")).withColumn("row", F.xxhash64("good", *FEATURES))
+    # Records meet the boxes of their block, not its donors; a block has one box for every block_rows of them.
+    near = asking.join(boxes, "good").withColumn("least", _least())
+    home = materialise(near.groupBy(*asking.columns).agg(F.min_by("shard", F.struct("least", "shard")).alias("shard")))
+    first = materialise(_search_shards(placed, home, k, neighbours))
+    kept = F.when(F.size("cand") >= neighbours, F.element_at("cand", neighbours)["distance"]).otherwise(float("inf"))
+    bound = first.groupBy("row").agg(F.max(kept).alias("bound"))
+    again = home.withColumnRenamed("shard", "home").join(bound, "row").join(boxes, "good").filter(F.col("shard") != F.col("home")).filter(_least() <= F.col("bound") + 1e-6)
+    found = first.unionByName(_search_shards(placed, again.select("good", "shard", *FEATURES, "row", "copies"), k, neighbours))
     best = found.groupBy("row", "id", "grp", "copies", "field").agg(F.slice(F.array_sort(F.flatten(F.collect_list("cand"))), 1, neighbours).alias("cand"))
     out = best.mapInArrow(_chosen(neighbours), f"{RESULT}, copies bigint")
-    return out.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_", "copies")
+    alone = rows.filter("num is null or cat is null").join(boxes.select("good").distinct(), "good", "left_anti")  # blocks without any donor
+    none = F.array(*[F.when(F.col(c).isNull(), F.lit(i).cast("tinyint")) for i, c in enumerate(("num", "cat"))])
+    empty = alone.select("id", "grp", F.explode(F.filter(none, lambda x: x.isNotNull())).alias("field"), *[F.lit(None).cast(t).alias(n) for n, t in (("fill", "double"), ("donor_id", "bigint"), ("distance", "double"))])
+    return out.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop("_", "copies").unionByName(empty)
 
 
 def hot_deck(
@@ -380,19 +446,18 @@ def hot_deck(
         positive_number(F.col("netWgt")).alias("num"),
         flag_value(F.col("isNetWgtEstimated")).cast("float").alias("cat"),
     )
-    whole = rows.count()
-    limit = max(block_rows, whole // 20_000)
-    # Read three times, and at most 20,000 rows by construction.
-    large = materialise(rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit).select("good", F.ceil(F.col("n") / limit).cast("int").alias("shards")))
+    large = materialise(rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block_rows).select("good"))
+    many = large.count()
+    known = F.broadcast(large) if many <= LARGE_BLOCKS else large
     near = (
-        rows.join(F.broadcast(large), "good", "left_anti")
+        rows.join(known, "good", "left_anti")
         .select(F.col("good").alias("block"), *FEATURES)
         .repartition("block")
         .sortWithinPartitions("block")
         .mapInArrow(_kernel(k, neighbours, chunk_rows), RESULT)
     )
-    if large.count():
-        near = near.unionByName(_split_blocks(rows, large, k, neighbours))
+    if many:
+        near = near.unionByName(_split_blocks(rows.join(known, "good", "left_semi"), block_rows, k, neighbours))
     # Chapters and flows: at most 101 x 7 rows, and one row for the table.
     mean = F.avg("cat") >= 0.5
     chapters = rows.groupBy("grp").agg(

@@ -30,6 +30,13 @@ def p3_filled(spark: SparkSession, d: str) -> DataFrame:
     return hotdeck.filled(t, hotdeck.hot_deck(t)).select("id", "netWgt", "isNetWgtEstimated", "netWgt_filled", "isNetWgtEstimated_filled")
 
 
+def p3_marks(spark: SparkSession, d: str) -> DataFrame:
+    """p3_filled without the fills themselves: the marks, and all values that were there."""
+    t = p3_filled(spark, d)
+    kept = lambda c: F.when(~F.col(f"{c}_filled"), F.col(c)).alias(c)
+    return t.select("id", kept("netWgt"), kept("isNetWgtEstimated"), "netWgt_filled", "isNetWgtEstimated_filled", (F.col("netWgt").isNotNull() & F.col("isNetWgtEstimated").isNotNull()).alias("whole"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return unit_text.converted_units(table(spark, d, "declarations"), table(spark, d, "qty_unit_conversion"))
 
@@ -78,4 +85,4 @@ def p6_profile(spark: SparkSession, d: str) -> DataFrame:
     return profile.column_profile(table(spark, d, "declarations"), patterns=profile.declaration_patterns(table(spark, d, "cif_fob_factor")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p4_found, p4_base_quantities, p4_coded, p5_found, p5_rows, p5_repairs, p6_found, p6_profile, p6_discrimination, p6_values)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_totals, p3_found, p3_filled, p3_marks, p4_found, p4_base_quantities, p4_coded, p5_found, p5_rows, p5_repairs, p6_found, p6_profile, p6_discrimination, p6_values)}

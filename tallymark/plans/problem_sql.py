@@ -61,6 +61,14 @@ WHERE isNetWgtEstimated IS NULL OR LOWER(TRIM(isNetWgtEstimated)) NOT IN ('1', '
 """
 
 
+_NO_WEIGHT = "(netWgt IS NULL OR isnan(netWgt) OR NOT (netWgt > 0) OR isinf(netWgt))"
+_NO_FLAG = "(isNetWgtEstimated IS NULL OR LOWER(TRIM(isNetWgtEstimated)) NOT IN ('1', 'true', 'yes', 't', 'y', '0', 'false', 'no', 'f', 'n'))"
+SQL["p3_marks"] = f"""
+SELECT id, CASE WHEN NOT {_NO_WEIGHT} THEN netWgt END AS netWgt, CASE WHEN NOT {_NO_FLAG} THEN isNetWgtEstimated END AS isNetWgtEstimated,
+  {_NO_WEIGHT} AS "netWgt_filled", {_NO_FLAG} AS "isNetWgtEstimated_filled", TRUE AS whole FROM declarations
+"""
+
+
 def _p5(sep: str, name: str) -> str:
     """Records of the files with one separator: r(raw_id, quoted_ok, f, h)."""
     field = f'("(?:[^"]|"")*"|[^"{sep}]*)'

@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators.hotdeck import _fill, _neighbours, filled, hot_deck
+from tallymark.operators import hotdeck
+from tallymark.operators.hotdeck import _distance, _fill, _neighbours, filled, hot_deck
 from tests.conftest import DATA
 
 SCHEMA = "id bigint, cmdCode string, flowCode string, reporterCode int, refYear string, primaryValue double, grossWgt double, netWgt double, isNetWgtEstimated string, field string, grp string, block int"
@@ -122,13 +123,42 @@ def test_all_donors_of_a_block_are_considered(seed):
         assert list(got) == [j for _, _, j in best] and np.allclose(d, [x for x, _, _ in best], rtol=0, atol=1e-12)
 
 
-def test_split_blocks_give_what_whole_blocks_give(spark):
+def test_split_blocks_give_what_whole_blocks_give(spark, monkeypatch):
     rng = np.random.default_rng(7)
     rows = [row(i, None if rng.random() < 0.3 else float(rng.integers(1, 10**6)), "zz" if rng.random() < 0.2 else "01"[i % 2], rep=int(rng.integers(1, 4)), year=str(rng.integers(2015, 2022)), value=float(rng.lognormal(5, 3)), gross=None if i % 4 == 0 else float(rng.lognormal(5, 3))) for i in range(1500)]
     rows += [r for r in rows if r[0] % 50 == 0] + [row(i, None, cmd="020220") if i % 2 else row(i, 5.0, cmd="020220") for i in range(2000, 2010)]
     every = lambda **kw: sorted(map(tuple, hot_deck(spark.createDataFrame(rows, SCHEMA), **kw).collect()), key=str)
     whole, split = every(), every(block_rows=100)
     assert len(whole) == len(split) > 500 and whole == split
+    monkeypatch.setattr(hotdeck, "ASKED", 30)
+    monkeypatch.setattr(hotdeck, "LARGE_BLOCKS", 0)
+    assert every(block_rows=60) == whole
+
+
+def test_split_blocks_of_one_value_and_without_donors(spark):
+    """A bin that holds a whole block, and a large block in which nothing is known."""
+    rows = [row(i, None if i % 2 else float(i), value=5.0, flag=None) for i in range(500)] + [row(1000 + i, None, cmd="020220", flag=None) for i in range(300)]
+    every = lambda **kw: sorted(map(tuple, hot_deck(spark.createDataFrame(rows, SCHEMA), **kw).collect()), key=str)
+    whole = every()
+    assert len(whole) == 251 + 500 + 600 and every(block_rows=50) == whole
+
+
+def test_recall_on_the_tables_is_one(spark):
+    """All five closest donors of records of the real table, in shards, against a full comparison."""
+    t = spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/declarations.parquet").filter("cmdCode is not null")
+    top = t.groupBy("cmdCode", "flowCode").count().orderBy(F.desc("count")).first()
+    block = t.filter((F.col("cmdCode") == top.cmdCode) & F.col("flowCode").eqNullSafe(top.flowCode))
+    got = {r.id: (r.donor_id, r.fill) for r in hot_deck(block, block_rows=20).filter("field = 'netWgt'").collect()}
+    pdf = block.toPandas()
+    log = lambda c: np.log(np.where(pdf[c].fillna(0) > 0, pdf[c].fillna(0), np.nan)).astype("float32").astype(float)
+    features = [("same", pdf.reporterCode.fillna(-1).to_numpy(), 0.5), ("near", pdf.refYear.astype(float).to_numpy() / 10, 0.5), ("near", log("primaryValue") / 3, 2.0), ("near", log("grossWgt") / 3, 4.0)]
+    value, ids = pdf.netWgt.where(pdf.netWgt > 0).to_numpy(), pdf.id.to_numpy()
+    donors, want = np.flatnonzero(~np.isnan(value)), np.flatnonzero(np.isnan(value))
+    assert len(want) > 5 and set(got) == set(ids[want])
+    for w in want:
+        x = _distance(features, np.full(len(donors), w), donors)
+        five = donors[np.lexsort((ids[donors], x))[:5]]
+        assert got[ids[w]][0] in set(ids[five]) and got[ids[w]][1] in set(value[five])
 
 
 def test_table_level_is_the_median_of_the_table(spark):
