@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 import sys
 
@@ -24,10 +25,12 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--reporters", nargs="*", type=int)
     run.add_argument("--level", default="HS6")
     run.add_argument("--prefixes", nargs="*", default=[])
-    run.add_argument("--concordance", help="text file or folder of the built concordance's edges, in Parquet")
+    run.add_argument("--concordance", help="a concordance as the concordance command writes it, or in Parquet")
+    run.add_argument("--target", default=Config.canonical_revision, choices=REVISIONS)
+    run.add_argument("--fetch", help="module:function that brings a raw file, for the retrieval phase")
     conc = sub.add_parser("concordance", help="build the weighted concordance")
     conc.add_argument("--src", required=True)
-    conc.add_argument("--target", default="H6", choices=REVISIONS)
+    conc.add_argument("--target", default=Config.canonical_revision, choices=REVISIONS)
     conc.add_argument("--output", required=True)
     return p
 
@@ -61,6 +64,7 @@ def _concordance(a: argparse.Namespace, spark: SparkSession) -> int:
 
 
 def _run(a: argparse.Namespace, spark: SparkSession) -> int:
+    from tallymark.operators.concordance import read_built
     from tallymark.plans.pipeline import Pipeline, ordered_phases
     from tallymark.sources import dims
     from tallymark.sources.tables import table
@@ -76,9 +80,13 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         if not known:
             return 2
         targets = tuple(known)
-    cfg = Config(years=tuple(a.years), hs_level=a.level, prefixes=tuple(a.prefixes), reporters=targets)
-    edges = spark.read.parquet(a.concordance) if a.concordance else None
-    done = Pipeline(spark, a.root, cfg, dimensions, edges).run(phases)
+    cfg = Config(years=tuple(a.years), hs_level=a.level, prefixes=tuple(a.prefixes), reporters=targets, canonical_revision=a.target)
+    best = read_built(spark, a.concordance, a.target) if a.concordance else None
+    fetch = None
+    if a.fetch:
+        module, _, name = a.fetch.partition(":")
+        fetch = getattr(importlib.import_module(module), name)
+    done = Pipeline(spark, a.root, cfg, dimensions, best_codes=best, fetch=fetch).run(phases)
     for step, ran in done.items():
         log.info("%s %s", step, "done" if ran else "fresh or without input")
     return 0

@@ -21,7 +21,7 @@ class Config:
     hs_level: str = "HS6"
     prefixes: tuple[str, ...] = ()
     reporters: tuple[int, ...] | None = None
-    canonical_revision: str = "H6"
+    canonical_revision: str = "H4"
     default_uplift: float = DEFAULT_UPLIFT
     null_keys_match: bool = True
 

@@ -41,8 +41,10 @@ EPS = 1e-9
 
 
 def parse_grouped_number(c: Column) -> Column:
-    """Text to double: a point marks decimals, commas only group digits, blanks mean nothing."""
-    return F.regexp_replace(c, r"[,\s ]", "").try_cast("double")
+    """Text to double: a point marks decimals, commas only group digits, blanks around it mean nothing; with a
+    blank inside it is no number."""
+    outer = r"^[\s\u00a0\u202f]+|[\s\u00a0\u202f]+$"
+    return F.regexp_replace(F.regexp_replace(c, outer, ""), ",", "").try_cast("double")
 
 
 def diff_copies(

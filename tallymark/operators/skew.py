@@ -7,8 +7,8 @@ capped or dropped, and no task ever holds the rows of a key.
 
 Sums are decimal, so they do not depend on the order in which partial states meet.
 
-Defined cases: null keys make a key of their own; null and NaN measures count as rows but add
-nothing; an empty table gives no rows; columns that are not named are never read.
+Defined cases: null keys make a key of their own; null measures count as rows but add nothing, and
+those that cannot be summed are counted apart; an empty table gives no rows; columns that are not named are never read.
 """
 
 from __future__ import annotations
@@ -16,23 +16,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.session import materialise
 
-def per_key_totals(df: DataFrame, keys: list[str], measure: str, scale: int = 4) -> DataFrame:
-    """(field, key_value, n, total) for each key column in one scan and one shuffle."""
-    m = F.col(measure)
-    value = F.when(~F.isnan(m), m).try_cast(f"decimal(26,{scale})")
+
+def per_key_totals(df: DataFrame, keys: list[str], measure: str, scale: int = 6) -> DataFrame:
+    """(field, key_value, n, total, unsummed) for each key column in one scan and one shuffle. unsummed: rows whose
+    measure is no number that the sum can take - NaN, infinite, 1e24 and more - and which add nothing."""
+    m = F.col(measure).cast("double")
+    value = F.when(F.abs(m) < 1e24, m).try_cast(f"decimal({24 + scale},{scale})")
     entries = F.array(*[F.struct(F.lit(k).alias("field"), F.col(k).cast("bigint").alias("key_value")) for k in keys])
-    return df.select(value.alias("_m"), F.inline(entries)).groupBy("field", "key_value").agg(F.count(F.lit(1)).alias("n"), F.sum("_m").cast("double").alias("total"))
+    return df.select(value.alias("_m"), m.isNotNull().alias("_x"), F.inline(entries)).groupBy("field", "key_value").agg(F.count(F.lit(1)).alias("n"), F.sum("_m").cast("double").alias("total"), F.count_if(F.col("_x") & F.col("_m").isNull()).alias("unsummed"))
 
 
 def heavy_keys(df: DataFrame, shares: dict[str, float], measure: str) -> DataFrame:
-    """(field, key_value, n, total, share) of non-null keys that hold at least the given share of
-    all rows. The totals per field are one row a field: they are joined by broadcast."""
-    totals = per_key_totals(df, list(shares), measure)
-    whole = totals.groupBy("field").agg(F.sum("n").alias("whole"))
+    """(field, key_value, n, total, unsummed, share) of non-null keys that hold at least the given share of
+    all rows. The compact totals, a row for each key, are written once, sums included: the rows of one field add
+    up to all rows of the table."""
+    totals = materialise(per_key_totals(df, list(shares), measure))
+    whole = totals.filter(F.col("field") == next(iter(shares))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     least = F.coalesce(*[F.when(F.col("field") == k, F.lit(s)) for k, s in shares.items()])
-    return (
-        totals.join(F.broadcast(whole), "field")
-        .filter(F.col("key_value").isNotNull() & (F.col("n") >= least * F.col("whole")))
-        .select("field", "key_value", "n", "total", (F.col("n") / F.col("whole")).alias("share"))
-    )
+    heavy = totals.filter(F.col("key_value").isNotNull() & (F.col("n") >= least * F.lit(whole)))
+    return heavy.select("field", "key_value", "n", "total", "unsummed", (F.col("n") / F.lit(whole)).alias("share"))

@@ -17,7 +17,7 @@ from tallymark.session import write_once
 from tallymark.sources import dims
 from tallymark.sources.tables import table, version
 
-CFG = Config(years=("2021", "2022"))
+CFG = Config(years=("2021", "2022"), canonical_revision="H6")
 QUERIES = {}
 
 

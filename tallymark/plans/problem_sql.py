@@ -41,11 +41,11 @@ GROUP BY matched_id HAVING COUNT(*) >= 0.01 * (SELECT COUNT(*) FROM declarations
 """
 
 SQL["p2_totals"] = """
-SELECT field, key_value, COUNT(*) AS n, CAST(SUM(m) AS DOUBLE) AS total FROM (
-  SELECT 'reporterCode' AS field, CAST(reporterCode AS BIGINT) AS key_value, TRY_CAST(CASE WHEN isnan(primaryValue) THEN NULL ELSE primaryValue END AS DECIMAL(26, 4)) AS m FROM declarations
+SELECT field, key_value, COUNT(*) AS n, CAST(SUM(m) AS DOUBLE) AS total, COUNT(*) FILTER (WHERE x IS NOT NULL AND m IS NULL) AS unsummed FROM (
+  SELECT 'reporterCode' AS field, CAST(reporterCode AS BIGINT) AS key_value, primaryValue AS x, TRY_CAST(CASE WHEN abs(primaryValue) < 1e24 THEN primaryValue END AS DECIMAL(30, 6)) AS m FROM declarations
   UNION ALL
-  SELECT 'matched_id', matched_id, TRY_CAST(CASE WHEN isnan(primaryValue) THEN NULL ELSE primaryValue END AS DECIMAL(26, 4)) FROM declarations
-) x GROUP BY field, key_value
+  SELECT 'matched_id', matched_id, primaryValue, TRY_CAST(CASE WHEN abs(primaryValue) < 1e24 THEN primaryValue END AS DECIMAL(30, 6)) FROM declarations
+) z GROUP BY field, key_value
 """
 
 SQL["p4_coded"] = """

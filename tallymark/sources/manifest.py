@@ -8,6 +8,9 @@ import os
 import tempfile
 from typing import Any
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from tallymark.config import OUTPUT_SCHEMA_VERSION
 
 
@@ -83,5 +86,13 @@ def quick_hash(path: str, part: int = 1 << 20) -> str:
 
 
 def fingerprint(paths: list[str]) -> list[list]:
-    """(name, size, digest) of files, for freshness."""
-    return [[os.path.basename(p), os.path.getsize(p), quick_hash(p)] for p in sorted(paths)]
+    """(name, size, time of change, digest) of files, for freshness: an edit in the middle of a file shows in its time."""
+    return [[os.path.basename(p), os.path.getsize(p), os.stat(p).st_mtime_ns, quick_hash(p)] for p in sorted(paths)]
+
+
+def table_digest(df: DataFrame | None) -> str:
+    """Digest of the rows of a dimension table, whatever their order; none for no table."""
+    if df is None:
+        return "none"
+    n, a, b = df.select(F.xxhash64(*df.columns).alias("h"), F.xxhash64(F.lit(1), *df.columns).alias("g")).agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)")), F.sum(F.col("g").cast("decimal(38,0)"))).first()
+    return hashlib.sha256(f"{df.schema.simpleString()}:{n}:{a}:{b}".encode()).hexdigest()[:16]

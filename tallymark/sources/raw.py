@@ -7,8 +7,10 @@ each separator. A gzip file is one task; rows are spread after the filters, not
 from __future__ import annotations
 
 import gzip
+import logging
 import os
 import re
+import zlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +18,9 @@ from pyspark.sql import functions as F
 
 from tallymark.schema import resolve
 
-#: Reporter and year of a file name; the reporter is as short as the pattern allows.
-NAME = re.compile(r"CA(\d+?)(\d{4})H\d")
+# Form of a file's name. Reporter and year; the reporter is as short as the pattern allows.
+NAME = re.compile(r"CA(\d+?)(\d{4})H\d", re.I)
+log = logging.getLogger("tallymark")
 MAGIC = b"\x1f\x8b"
 
 
@@ -66,15 +69,16 @@ def index_files(folders: list[str], year: str, validate: bool = True) -> dict[in
             continue
         for e in sorted(os.scandir(folder), key=lambda e: e.name):
             m = NAME.search(e.name)
-            if m and e.name.endswith(".gz") and m[2] == year and (not validate or valid_gzip(e.path)):
+            if m and e.name.lower().endswith(".gz") and m[2] == year and (not validate or valid_gzip(e.path)):
                 here.setdefault(int(m[1]), []).append(e.path)
         for r, paths in here.items():
             out.setdefault(r, paths)
     return out
 
 
-def discover(root: str, year: str, targets: set[int] | None = None) -> list[RawFile]:
-    """Readable files of a year, in root/<year> or root, by reporter."""
+def discover(root: str, year: str, targets: set[int] | None = None, unreadable: list[str] | None = None) -> list[RawFile]:
+    """Readable files of a year, in root/<year> or root, by reporter. Files whose header cannot be read are logged and
+    put into `unreadable`."""
     found = []
     for reporter, paths in sorted(index_files([os.path.join(root, year), root], year).items()):
         if targets is not None and reporter not in targets:
@@ -82,7 +86,10 @@ def discover(root: str, year: str, targets: set[int] | None = None) -> list[RawF
         for p in paths:
             try:
                 head = _header(p)
-            except (OSError, EOFError):
+            except (OSError, EOFError, zlib.error) as e:
+                log.warning("%s cannot be read: %s", p, e)
+                if unreadable is not None:
+                    unreadable.append(p)
                 continue
             sep = sniff_sep(head)
             found.append(RawFile(p, reporter, year, sep, tuple(c.strip().strip('"') for c in head.split(sep))))
@@ -135,6 +142,6 @@ def revision_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
                 import pandas as pd
 
                 out[stem] = spark.createDataFrame(pd.read_excel(path, dtype=str).astype(object).where(lambda x: x.notna(), None))
-            except ImportError:
-                continue
+            except ImportError as e:
+                log.warning("%s is left out: %s", path, e)
     return out

@@ -6,18 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_partitions(df: DataFrame, path: str, by: list[str], codec: str = "zstd") -> None:
-    """Replaces only the partitions that df holds. Rows are brought together by partition and spread over
-    a salt first, so that a hot partition is written by several tasks in files of moderate size."""
-    salt = F.pmod(F.xxhash64(*df.columns[:4]), F.lit(8))
-    (
-        df.repartition(*[F.col(c) for c in by], salt)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", codec)
-        .partitionBy(*by)
-        .parquet(path)
-    )
+#: Rows that a JSON document of statistics may have.
+STATS_ROWS = 1_000_000
+
+
+def write_year(df: DataFrame, path: str, year: str, by: tuple[str, ...] = (), codec: str = "zstd") -> None:
+    """The rows of a year, in place of all that was written for it. Rows are brought together by the columns that
+    part the files; how many tasks write, and how a hot value is split, goes by size (spark.sql.adaptive)."""
+    rows = df.drop("year")
+    rows = rows.hint("rebalance", *by) if by else rows.hint("rebalance")
+    out = rows.write.mode("overwrite").option("compression", codec)
+    (out.partitionBy(*by) if by else out).parquet(f"{path}/year={year}")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -48,10 +47,15 @@ def write_concordance(df: DataFrame, path: str) -> None:
 
 
 def stats_document(df: DataFrame) -> list[dict]:
-    """Rows of a small statistics table as dictionaries, for a JSON document; at most 100,000."""
-    return [r.asDict(recursive=True) for r in df.limit(100_000).collect()]
-
-
-def merge_stats(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Statistics of new, and of old where new has none for the keys."""
-    return new.unionByName(old.join(new.select(*keys).distinct(), keys, "left_anti"), allowMissingColumns=True)
+    """Rows of a small statistics table as dictionaries, for a JSON document; a large table is an error."""
+    rows = df.limit(STATS_ROWS + 1).collect()
+    if len(rows) > STATS_ROWS:
+        raise ValueError(f"statistics of more than {STATS_ROWS} rows")
+    return [r.asDict(recursive=True) for r in rows]
+
+
+def merge_documents(old: list[dict], new: list[dict], keys: tuple[str, ...]) -> list[dict]:
+    """Statistics of new, and of old where new has none for the keys, in order of the keys."""
+    of = lambda d: tuple(d.get(k) for k in keys)
+    have = {of(d) for d in new}
+    return sorted([*new, *[d for d in old if of(d) not in have]], key=lambda d: str(of(d)))

@@ -217,6 +217,21 @@ def test_names(stem, pair):
     assert concordance.pair_from_name(stem) == pair
 
 
+@pytest.mark.parametrize("columns,want", [
+    (["HS 2012", "HS 2017"], (0, 1, None)), (["old hs code", "new hs code"], (0, 1, None)), (["From", "To", "Share"], (0, 1, 2)), (["share_H5", "H5", "H4"], (2, 1, 0)),
+    (["HS17", "weight_hs12", "HS12"], (2, 0, 1)), (["source code", "ratio", "target code"], (0, 2, 1)), (["a", "b"], None),
+])
+def test_columns_of_revision_tables(spark, columns, want):
+    df = spark.createDataFrame([("0.1", "0.2", "0.3")[: len(columns)]], columns)
+    e = concordance.edges_from_table(df, "H4", "H5")
+    if want is None:
+        assert e is None
+    else:
+        r = e.first()
+        value = lambda i: 1.0 if i is None else (i + 1) / 10
+        assert (float(r.from_code), float(r.to_code), r.weight) == tuple(map(value, want))
+
+
 def test_build_from_tables(spark):
     a = spark.createDataFrame([(" 1 ", "2", "0.5"), ("1", "3", "x"), ("", "4", "1")], "`Old Code` string, `New Code` string, share string")
     got = concordance.build({"HS2017_HS2022": a, "junk": a}, "H6").filter("from_revision = 'H5'").collect()

@@ -15,6 +15,12 @@ def test_complete_with_a_hot_key_nulls_and_nan(spark):
     assert sum(n for (f, _), (n, _) in got.items() if f == "a") == len(rows)
 
 
+def test_what_cannot_be_summed_is_counted(spark):
+    rows = [(1, 1, v, "", 0) for v in (0.123456, 1e23, float("inf"), float("nan"), -1e25, None)]
+    r = per_key_totals(spark.createDataFrame(rows, SCHEMA), ["a"], "v").first()
+    assert (r.n, r.unsummed, r.total) == (6, 3, 1e23 + 0.123456)
+
+
 def test_heavy_keys_leave_out_null(spark):
     rows = [(1, None, 1.0, "", 0)] * 60 + [(2, 5, 1.0, "", 0)] * 40
     got = {(r.field, r.key_value, r.share) for r in heavy_keys(spark.createDataFrame(rows, SCHEMA), {"a": 0.5, "b": 0.4}, "v").collect()}

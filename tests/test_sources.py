@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,12 +78,50 @@ def test_pipeline(spark, files, tmp_path):
     stats = json.load(open(tmp_path / "stats" / "residual_2021.json"))
     assert stats["counts"][0]["pairs"] == 1 and stats["counts"][0]["entrepot_pairs"] == 1
     assert not any(p.run().values())
+    clean = json.load(open(tmp_path / "stats" / "match_2021.json"))
+    assert clean["clean"][0]["output_pairs"] == 1 and sum(x["total_rows"] for x in clean["per_country"]) == 3
+    repeats = json.load(open(tmp_path / "stats" / "aggregate_2021.json"))["duplicates"]
+    assert sum(x["repeats"] for x in repeats) == sum(x["rows"] for x in repeats) - 3 == 1
+    columns = store.read(spark, p.path("match")).columns
+    assert columns.index("hs_level") == columns.index("cmdCode") + 1
     assert all(Pipeline(spark, str(tmp_path), Config(canonical_revision="H5"), d).run().values())
     with pytest.raises(ValueError):
         ordered_phases(["nothing"])
     assert ordered_phases(["residual", "match"]) == ["match", "residual"]
 
 
+def test_steps_follow_their_tables(spark, files, tmp_path):
+    """A changed dimension table or concordance makes what was made from it again, and nothing before it."""
+    d = {"factors": factors(spark), "conversion": units(spark), "entrepots": spark.createDataFrame([("2",)], "code string"), "reporters": None}
+    Pipeline(spark, str(tmp_path), Config(), d).run()
+    other = {**d, "conversion": d["conversion"].limit(1)}
+    assert list(Pipeline(spark, str(tmp_path), Config(), other).run().values()) == [False, False, True]
+    best = spark.createDataFrame([("H9", "010110", "010111")], "from_revision string, from_code string, to_code string")
+    assert list(Pipeline(spark, str(tmp_path), Config(), other, best_codes=best).run().values()) == [False, True, True]
+    shutil.rmtree(tmp_path / "clean")
+    assert Pipeline(spark, str(tmp_path), Config(), d).residual_input("2021").count() == 3  # the matched rows stand in
+
+
+def test_retrieval_phase(spark, tmp_path):
+    def fetch(code, year, folder):
+        gz(os.path.join(folder, f"CA{code}{year}H6.gz"), ["a"])
+
+    reporters = spark.createDataFrame([("8", "n", "f", "c", "s"), ("9", "N", "F", "C", "S")], "iso_code string, name string, full_name string, continent string, status string")
+    p = Pipeline(spark, str(tmp_path), Config(), {"reporters": reporters}, fetch=fetch)
+    assert p.run(["retrieval"]) == {"retrieval/2021": True}
+    assert json.load(open(tmp_path / "stats" / "retrieval_2021.json"))["summary"][0]["downloaded"] == 2
+    with pytest.raises(ValueError):
+        Pipeline(spark, str(tmp_path), Config(), {"reporters": reporters}).run(["retrieval"])
+
+
+def test_unreadable_and_case(tmp_path):
+    (tmp_path / "ca82021h6.GZ").write_bytes(b"\x1f\x8bxx")
+    gz(tmp_path / "Ca92021H6.gz", ["a,b"])
+    bad = []
+    assert [f.reporter for f in raw.discover(str(tmp_path), "2021", unreadable=bad)] == [9]
+    assert [os.path.basename(b) for b in bad] == ["ca82021h6.GZ"]
+
+
 def test_manifest(tmp_path):
     m = Manifest(str(tmp_path / "m.json"))
     m.put("a", {"digest": "d", "inputs": [1]})
@@ -123,17 +162,23 @@ def test_retrieve(spark, tmp_path):
 def test_datasets(spark, tmp_path):
     p = str(tmp_path / "t")
     df = spark.createDataFrame([("a", 1, 5), ("b", 1, 6)], "k string, v int, w int")
-    store.write_partitions(df, p, ["k"])
-    store.write_partitions(spark.createDataFrame([("b", 2, 7)], "k string, v int, w int"), p, ["k"])
-    assert {(r.k, r.v) for r in store.read(spark, p).collect()} == {("a", 1), ("b", 2)}
+    store.write_year(df, p, "2020", ("k",))
+    store.write_year(df, p, "2021", ("k",))
+    store.write_year(spark.createDataFrame([("b", 2, 7)], "k string, v int, w int"), p, "2021", ("k",))  # nothing old of that year is left
+    assert {(r.year, r.k, r.v) for r in store.read(spark, p).collect()} == {(2020, "a", 1), (2020, "b", 1), (2021, "b", 2)}
     assert store.exists(spark, p) and store.first_existing(spark, [str(tmp_path / "no"), p]) == p
     store.write_text(df, str(tmp_path / "csv"), gzip=True)
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
     c = spark.createDataFrame([("H5", "a", "H6", "b", 0.333333, "")], "from_revision string, from_code string, to_revision string, to_code string, weight double, note string")
     store.write_concordance(c, str(tmp_path / "conc"))
     assert spark.read.csv(str(tmp_path / "conc"), header=True).first().weight == "0.3333"
-    old = spark.createDataFrame([(1, 1), (2, 1)], "r int, n int")
-    assert {tuple(r) for r in store.merge_stats(old, spark.createDataFrame([(2, 9)], "r int, n int"), ["r"]).collect()} == {(1, 1), (2, 9)}
+    assert store.merge_documents([{"r": 1, "n": 1}, {"r": 2, "n": 1}], [{"r": 2, "n": 9}], ("r",)) == [{"r": 1, "n": 1}, {"r": 2, "n": 9}]
+    with pytest.raises(ValueError):
+        store.STATS_ROWS, most = 1, store.STATS_ROWS
+        try:
+            store.stats_document(df)
+        finally:
+            store.STATS_ROWS = most
 
 
 def test_dimensions(spark):
@@ -181,7 +226,8 @@ def test_command_line(spark, files, tmp_path):
     assert main(build, spark) == 0
     assert {(r.from_code, r.to_code, r.weight) for r in spark.read.csv(str(out), header=True).filter("from_revision = 'H5'").collect()} == {("010110", "010111", "1.0000")}
     run = ["run", "--root", str(tmp_path), "--dims", DATA, "--years", "2021", "--phases"]
-    assert main([*run, "aggregate", "match"], spark) == 0
+    assert main([*run, "aggregate", "match", "--concordance", str(out), "--target", "H6"], spark) == 0
+    assert main([*run, "retrieval"], spark) == 1
     assert main([*run, "nonsense"], spark) == 1
     assert main([*run, "match", "--reporters", "999999"], spark) == 2
 
