@@ -46,14 +46,16 @@ BETWEEN = "\x1f"
 
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        seps, names, many = [], [], []
+        seps, names, many, places = [], [], [], []
         for h in b.column("header").to_pylist():
             sep = "\t" if "\t" in h else ","
             found = [x.strip().lower() for x in split(h, sep) or h.replace('"', "").split(sep)]
             seps.append(sep)
             names.append(BETWEEN.join(found))
             many.append(len(found))
-        yield pa.RecordBatch.from_arrays([b.column("file_name"), pa.array(seps, pa.string()), pa.array(names, pa.string()), pa.array(many, pa.int32())], names=["file_name", "sep", "names", "columns"])
+            last = {x: i for i, x in enumerate(found)}
+            places.append([last.get(k) for k in TYPED])
+        yield pa.RecordBatch.from_arrays([b.column("file_name"), pa.array(seps, pa.string()), pa.array(names, pa.string()), pa.array(many, pa.int32()), pa.array(places, pa.list_(pa.int32()))], names=["file_name", "sep", "names", "columns", "places"])
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,34 +77,32 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 reason[i], quotes[i], delims[i], edits[i] = "quoting" if q else "column_count", q, d, e
         text = pa.list_(pa.string())
         yield pa.RecordBatch.from_arrays(
-            [*[b.column(c) for c in ("raw_id", "file_name", "line_no", "names", "plain")], pa.array(parts, text), pa.array(reason, pa.string()), pa.array(quotes, pa.int32()), pa.array(delims, pa.int32()), pa.array(edits, text)],
-            names=["raw_id", "file_name", "line_no", "names", "plain", "parts", "broken", "quote_edits", "delimiter_edits", "edits"],
+            [*[b.column(c) for c in ("raw_id", "file_name", "line_no", "names", "places", "plain")], pa.array(parts, text), pa.array(reason, pa.string()), pa.array(quotes, pa.int32()), pa.array(delims, pa.int32()), pa.array(edits, text)],
+            names=["raw_id", "file_name", "line_no", "names", "places", "plain", "parts", "broken", "quote_edits", "delimiter_edits", "edits"],
         )
 
 
-PARSED = "raw_id bigint, file_name string, line_no int, names string, plain array<string>, parts array<string>, broken string, quote_edits int, delimiter_edits int, edits array<string>"
+PARSED = "raw_id bigint, file_name string, line_no int, names string, places array<int>, plain array<string>, parts array<string>, broken string, quote_edits int, delimiter_edits int, edits array<string>"
 
 
 def _value(name: str) -> Column:
     """The field of a header name; null where the file has no such column."""
-    names = F.split("names", BETWEEN)
-    at = F.size(names) - F.array_position(F.reverse(names), name).cast("int")  # the last of that name
-    return F.when(F.array_contains(names, name), F.get("parts", at))
+    return F.get("parts", F.get("places", list(TYPED).index(name)))
 
 
 def value_reasons(cmd: Column, year: Column, flow: Column) -> Column:
     """Array of the reasons of impossible values; null values are not checked."""
-    clean = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    good_cmd = clean(cmd).rlike("^(?:(?=[0-9]*[1-9])[0-9]{1,6}|TOTAL)\\z")
-    good_year = clean(year).rlike("^[0-9]{4}\\z") & F.coalesce(clean(year).try_cast("int").between(1962, 2030), F.lit(False))
-    good_flow = F.upper(clean(flow)).isin(*FLOWS) & clean(flow).rlike("^[A-Za-z]+\\z")
+    outer = lambda pattern: rf"(?U)^\s*(?:{pattern})\s*\z"
+    good_cmd = cmd.rlike(outer("(?=[0-9]*[1-9])[0-9]{1,6}|TOTAL"))
+    good_year = year.rlike(outer("19(?:6[2-9]|[7-9][0-9])|20(?:[0-2][0-9]|30)"))
+    good_flow = flow.rlike(outer("|".join("".join(f"[{c}{c.lower()}]" for c in f) for f in FLOWS)))
     found = F.array(*[F.when(~good, F.lit(name)) for good, name in ((good_cmd, "invalid_cmdCode"), (good_year, "invalid_refYear"), (good_flow, "invalid_flowCode"))])
     return F.filter(found, lambda x: x.isNotNull())
 
 
 def _with_headers(lines: DataFrame) -> DataFrame:
     heads = lines.filter(F.col("line_no") == 1).groupBy("file_name").agg(F.min_by("line", "raw_id").alias("header"))
-    heads = materialise(heads.mapInArrow(_headers, "file_name string, sep string, names string, columns int"))
+    heads = materialise(heads.mapInArrow(_headers, "file_name string, sep string, names string, columns int, places array<int>"))
     records = lines.filter(~F.col("line_no").eqNullSafe(F.lit(1)))
     many, chars = heads.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("names")), F.lit(0))).first()
     if many <= HEAD_ROWS and chars <= HEAD_CHARS:
@@ -115,7 +115,7 @@ def _with_headers(lines: DataFrame) -> DataFrame:
 
 
 def parse_rows(raw: DataFrame) -> DataFrame:
-    """(raw_id, file_name, line_no, names, parts, reasons, quote_edits, delimiter_edits, edits) of every record:
+    """(raw_id, file_name, line_no, names, places, parts, reasons, quote_edits, delimiter_edits, edits) of every record:
     reasons is empty for valid rows, whose fields are parts; edits are those of the cheapest parse of the others."""
     lines = spread(raw.select("raw_id", "file_name", F.col("line_no").cast("int").alias("line_no"), F.coalesce("line", F.lit("")).alias("line")))
     met = _with_headers(lines).withColumns({"sep": F.coalesce("sep", F.lit(",")), "columns": F.coalesce("columns", F.lit(0))})
@@ -125,10 +125,10 @@ def parse_rows(raw: DataFrame) -> DataFrame:
     quoted = line.startswith('"') & line.endswith('"') & (F.length(line) >= 2) & (quotes == 2 * F.size(inner))
     fields = F.when(quotes == 0, bare).when(quoted, inner)
     plain = met.withColumn("plain", F.when(F.size(fields) == F.col("columns"), fields))
-    asked = plain.select("raw_id", "file_name", "line_no", "names", "plain", "sep", "columns", F.when(F.col("plain").isNull(), line).alias("line"))
+    asked = plain.select("raw_id", "file_name", "line_no", "names", "places", "plain", "sep", "columns", F.when(F.col("plain").isNull(), line).alias("line"))
     parsed = asked.mapInArrow(_parse, PARSED).withColumn("parts", F.coalesce("plain", "parts"))
     reasons = F.when(F.col("broken").isNotNull(), F.array("broken")).otherwise(value_reasons(_value("cmdcode"), _value("refyear"), _value("flowcode")))
-    return parsed.select("raw_id", "file_name", "line_no", "names", "parts", reasons.alias("reasons"), "quote_edits", "delimiter_edits", "edits")
+    return parsed.select("raw_id", "file_name", "line_no", "names", "places", "parts", reasons.alias("reasons"), "quote_edits", "delimiter_edits", "edits")
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
