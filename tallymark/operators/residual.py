@@ -65,18 +65,20 @@ def side_sums(uplifted: DataFrame) -> DataFrame:
 def residuals(uplifted: DataFrame, conversion: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
     """The 27 columns of a pair: sums of both sides, M in the unit of X, and X less M; and more columns of side_sums."""
     s = side_sums(uplifted)
-    for c in (*[f"{m}_{f}" for m in METRICS for f in "XM"], "primaryValue_X_CIF"):
-        s = s.withColumn(c, F.col(c).cast("double"))
+    sums = {*[f"{m}_{f}" for m in METRICS for f in "XM"], "primaryValue_X_CIF"}
+    s = s.select(*[F.col(c).cast("double").alias(c) if c in sums else F.col(c) for c in s.columns])
     table = conversion.filter("factor_to_base > 0").select(F.trim("code").alias("u"), F.col("dimension").alias("d"), F.col("factor_to_base").alias("f"))
+    derived = {}
     for q in ("qty", "altQty"):
         for f in "XM":
-            t = table.select(F.col("u").alias(f"_u{f}"), F.col("d").alias(f"_d{f}"), F.col("f").alias(f"_f{f}"))
-            s = s.join(t, F.trim(f"{q}UnitCode_{f}") == F.col(f"_u{f}"), "left").drop(f"_u{f}")
+            t = table.select(F.col("u").alias(f"_{q}u{f}"), F.col("d").alias(f"_{q}d{f}"), F.col("f").alias(f"_{q}f{f}"))
+            s = s.join(t, F.trim(f"{q}UnitCode_{f}") == F.col(f"_{q}u{f}"), "left")
         same = F.trim(f"{q}UnitCode_X") == F.trim(f"{q}UnitCode_M")
-        s = s.withColumn(f"{q}_M_in_X_unit", convert_unit(F.col(f"{q}_M"), same, F.col("_dM"), F.col("_fM"), F.col("_dX"), F.col("_fX"))).drop("_dX", "_dM", "_fX", "_fM")
-        s = s.withColumn(f"{q}_MISINVOICING", F.col(f"{q}_X") - F.col(f"{q}_M_in_X_unit"))
-    s = s.withColumn("netWgt_MISINVOICING", F.col("netWgt_X") - F.col("netWgt_M")).withColumn("grossWgt_MISINVOICING", F.col("grossWgt_X") - F.col("grossWgt_M"))
-    s = s.withColumn("primaryValue_MISINVOICING", F.col("primaryValue_X_CIF") - F.col("primaryValue_M")).withColumn("hs_level", hs_level(F.col("cmdCode")))
+        there = convert_unit(F.col(f"{q}_M"), same, F.col(f"_{q}dM"), F.col(f"_{q}fM"), F.col(f"_{q}dX"), F.col(f"_{q}fX"))
+        derived |= {f"{q}_M_in_X_unit": there, f"{q}_MISINVOICING": F.col(f"{q}_X") - there}
+    derived |= {f"{w}_MISINVOICING": F.col(f"{w}_X") - F.col(f"{w}_M") for w in ("netWgt", "grossWgt")}
+    derived |= {"primaryValue_MISINVOICING": F.col("primaryValue_X_CIF") - F.col("primaryValue_M"), "hs_level": hs_level(F.col("cmdCode"))}
+    s = s.withColumns(derived)
     return s.select(*COLUMNS, *more)
 
 
