@@ -23,11 +23,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df materialised in the shared checkpoint folder; survives the loss of any executor."""
-    return materialise(df)
-
-
 def write_once(df: DataFrame) -> str:
     """The path of df written as a table in the shared checkpoint folder; it is removed when the session ends."""
     spark = df.sparkSession

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tallymark.session import ensure_checkpoint_dir, materialise, spread
@@ -22,3 +23,18 @@ def test_tables_go_to_the_checkpoint_folder(spark):
 def test_setting_of_the_session_holds(spark):
     have = spark.sparkContext._jsc.sc().getCheckpointDir().get()
     assert ensure_checkpoint_dir(spark) == have
+
+
+def test_no_folder_of_one_machine_on_a_cluster(monkeypatch):
+    """Without spark.checkpoint.dir only a local master gets a folder of its own."""
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": lambda self, name, default=None: default})()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
