@@ -10,7 +10,8 @@ exact token length*, a table whose size is the number of different lengths, not
    distribution;
 2. a bounded-knapsack dynamic programme (reachable sums as bits in units of the lengths' common
    divisor, counts split in powers of two) fills that part from all remaining documents as closely as
-   any choice of them can. A budget within that part is fitted by the programme alone, so exactly.
+   any choice of them can. Where that misses the budget, and sums times steps allow, the programme
+   fits the whole budget anew, so exactly.
 
 Then each (source, length) gives that many documents, in a seeded hash order. A length that is
 shared by very many documents is split by a hash into salts that are ranked apart.
@@ -101,9 +102,15 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: str =
     u = _uniform(seed, lengths)
     order = np.argsort(u, kind="stable")
     middle = int(lengths[np.searchsorted(np.cumsum(counts), counts.sum() / 2)]) if (np.diff(lengths) > 0).all() else int(np.median(lengths))
-    low = max(window, DEPTH * middle)  # tokens left to the programme
-    if budget // int(np.gcd.reduce(lengths)) * int(np.ceil(np.log2(counts + 1)).sum()) <= WHOLE_STEPS:
-        low = budget
+    take = _fitted(lengths, counts, budget, u, order, max(window, DEPTH * middle))
+    if int((lengths * take).sum()) < budget and budget // int(np.gcd.reduce(lengths)) * int(np.ceil(np.log2(counts + 1)).sum()) <= WHOLE_STEPS:
+        take = _fitted(lengths, counts, budget, u, order, budget)
+    return take
+
+
+def _fitted(lengths: np.ndarray, counts: np.ndarray, budget: int, u: np.ndarray, order: np.ndarray, low: int) -> np.ndarray:
+    """All but `low` tokens of the budget in proportion, the rest by the programme."""
+    whole = int((lengths * counts).sum())
     take = np.zeros(len(lengths), np.int64)
     if budget > low:
         take = np.minimum(counts, np.floor(counts * ((budget - low) / whole) + u).astype(np.int64))
