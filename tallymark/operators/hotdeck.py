@@ -5,12 +5,15 @@
 2. Inside a block, the `neighbours` closest donors by the mixed (Gower) distance over the features
    observed on both records are kept. The k donors on each side in several orders (reporter-year-value,
    value, gross weight, reporter-gross weight) give a first bound; then every donor is looked at that
-   is not farther than the bound by the feature that weighs most alone, so the search is exact.
-3. The donors of a larger block are cut into shards of about `block_rows`, in order of gross weight, or
-   of value where that is not observed; each shard is described by a box (range of every feature,
-   reporters). A missing value first meets the shard whose box is nearest; the distance of the last
-   donor kept there is a bound, and it then meets exactly the shards whose boxes are not farther. So a
-   search sees all donors that matter, whatever the size of the block, and few shards of many.
+   is not farther than the bound by one feature alone - the one by which donors differ most - so the
+   search is exact. Donors of the same reporter and year go first, which leaves few of the others.
+3. The donors of a larger block are cut into shards of about `block_rows`, once for each kind of record
+   that asks (gross weight, value, both or neither observed), in an order that such records have too:
+   gross weight, or value; donors that differ by reporter and year only are reduced to the first ids.
+   Each shard is described by a box (range of every feature, reporters). A missing value first meets the
+   shard in whose order it stands; the distance of the last donor kept there is a bound, and it then
+   meets exactly the shards whose boxes are not farther, and in them the donors that are not farther. So
+   a search sees all donors that matter, and few shards, whatever the size of the block.
 4. A numeric field gets the weighted median of the donors' values - always the value of one of
    them, whose id is given; a categorical field gets the weighted majority.
 5. A record whose block has no donor gets the median or majority of its chapter and flow, else of
@@ -31,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,8 +53,12 @@ SLACK = 1e-4
 ASKED = 200_000
 #: Large blocks up to which their table is broadcast (two numbers each).
 LARGE_BLOCKS = 500_000
-#: Bins of the order of donors per unit of its axis, and where the axis of donors without gross weight (or value) begins.
-AXIS_BINS, AXIS_STEP = 64, 1000.0
+#: Bins of the order of donors per unit of its axis.
+AXIS_BINS = 1024
+#: Kinds of donors in large blocks; of those from NEITHER on no weight or value is compared.
+WEIGHED, VALUED, BOTH, NEITHER, UNWEIGHED, UNVALUED, ALL = range(7)
+#: Features of this many values at most are met value by value.
+STEPS = 64
 RESULT = "id bigint, grp int, field tinyint, fill double, donor_id bigint, distance double"
 
 
@@ -119,27 +127,33 @@ def _merge(near: np.ndarray, dist: np.ndarray, ids: np.ndarray, r: np.ndarray, d
     near[r[top], place[top]], dist[r[top], place[top]] = d[top], x[top]
 
 
-def _search(group, features, ids, donors, want, near, dist, apart: float) -> None:
+def _search(group, features, ids, donors, want, near, dist, apart: float, stepped=None) -> None:
     """Take into near and dist every donor of the same group that belongs there.
 
     Donors and recipients meet by what is observed on them, so that the weights of a meeting are
-    known. Donors stand in order of the feature that weighs most; only those are looked at whose
-    distance by it alone, with `apart` as the weight that is lost anyway, is below the last kept."""
+    known. Donors stand in order of the feature by which they differ most; only those are looked at whose
+    distance by it alone, with `apart` as the weight that is lost anyway, is below the last kept.
+    stepped: (near feature that makes no order, weight lost by it where it is observed on both)."""
     near_by = [(c, w) for kind, c, w in features if kind == "near"]
     same_by = [(c, w) for kind, c, w in features if kind == "same"]
     names = np.unique(group[np.r_[donors, want]])
     mask = sum((~np.isnan(c)).astype(np.int64) << j for j, (c, _) in enumerate(near_by)) + np.zeros(len(ids), np.int64)
     for dp in np.unique(mask[donors]):
         for rp in np.unique(mask[want]):
-            seen = [(c, w) for j, (c, w) in enumerate(near_by) if (dp & rp) >> j & 1]
+            at_both = [j for j in range(len(near_by)) if (dp & rp) >> j & 1]
+            seen = [near_by[j] for j in at_both]
             r = np.flatnonzero(mask[want] == rp)
             weight = sum(w for _, w in same_by) + sum(w for _, w in seen)
-            left = dist[r, -1] * max(weight, 1e-12) - apart + SLACK
+            by_step = stepped and at_both == [stepped[0]]  # its distance is then that of the order
+            lost = apart + (stepped[1] if stepped and stepped[0] in at_both and not by_step else 0.0)
+            left = dist[r, -1] * max(weight, 1e-12) - lost + SLACK
             r, left = r[left >= 0], left[left >= 0]
             if not len(r):
                 continue
             d = donors[mask[donors] == dp]
-            axis, w = max(seen, key=lambda f: f[1]) if seen else (np.zeros(len(ids)), 0.0)
+            spread = lambda j: near_by[j][1] * np.subtract(*np.quantile(near_by[j][0][d], (0.95, 0.05)))  # noqa: E731, B023
+            best = max((j for j in at_both if not stepped or j != stepped[0]), key=spread, default=at_both[0] if at_both else None)
+            axis, w = near_by[best] if seen else (np.zeros(len(ids)), 0.0)
             d = d[np.lexsort((ids[d], *[c[d] for c, _ in seen], *[c[d] for c, _ in same_by], axis[d], group[d]))]
             # of donors that are alike in all that counts here, only the first ids can be kept
             run = _runs(group[d], axis[d], *[c[d] for c, _ in same_by], *[c[d] for c, _ in seen])
@@ -163,10 +177,21 @@ def _search(group, features, ids, donors, want, near, dist, apart: float) -> Non
                 start = stop
 
 
-def _neighbours(block, ids, features, orders, donor, want, k, neighbours):
-    """The closest donors of the same block of each wanted row, all donors considered: (rows or -1, distances)."""
+def _stepped(features):
+    """(which near feature, weight that two different values of it lose at least) of one of few values, or None."""
+    near_by = [(c, w) for kind, c, w in features if kind == "near"]
+    for j, (c, w) in enumerate(near_by):
+        values = np.unique(c[~np.isnan(c)])
+        if len(values) <= STEPS:
+            return j, w * min(float(np.diff(values).min(initial=1.0)), 1.0)
+    return None
+
+
+def _neighbours(block, ids, features, orders, donor, want, k, neighbours, bound=None):
+    """The closest donors of the same block of each wanted row, all donors considered: (rows or -1, distances).
+    bound: distances beyond which no donor is asked for; places without a donor have them."""
     near = np.full((len(want), neighbours), -1, np.int64)
-    dist = np.full((len(want), neighbours), np.inf)
+    dist = np.full((len(want), neighbours), np.inf) if bound is None else np.repeat(bound[:, None], neighbours, axis=1)
     donors = np.flatnonzero(donor)
     if not len(donors) or not len(want):
         return near, dist
@@ -174,14 +199,26 @@ def _neighbours(block, ids, features, orders, donor, want, k, neighbours):
         cand = _nearest(o, donor, want, k)
         at, col = np.nonzero((cand >= 0) & (block[cand] == block[want][:, None]))
         if len(at):
-            _merge(near, dist, ids, at, cand[at, col], _distance(features, want[at], cand[at, col]))
+            x = _distance(features, want[at], cand[at, col])
+            at, col, x = (c[x <= dist[at, -1]] for c in (at, col, x))
+            if len(at):
+                _merge(near, dist, ids, at, cand[at, col], x)
     same = next(((c, w) for kind, c, w in features if kind == "same"), None)
-    if same:  # first those that are alike, which leaves little to be looked at among the others
-        by = np.lexsort((same[0], block))
-        group = np.empty(len(block), np.int64)
-        group[by] = _runs(block[by], same[0][by])
-        _search(group, features, ids, donors, want, near, dist, 0.0)
-    _search(block, features, ids, donors, want, near, dist, same[1] if same else 0.0)
+    stepped = _stepped(features)
+    step = next(c for j, c in enumerate(c for kind, c, _ in features if kind == "near") if j == stepped[0]) if stepped else None
+
+    def groups(*columns):
+        by = np.lexsort((*columns[::-1], block))
+        out = np.empty(len(block), np.int64)
+        out[by] = _runs(block[by], *(c[by] for c in columns))
+        return out
+
+    # first those that are alike, which leaves little to be looked at among the others
+    for lost, alike in ((0.0, [same[0]] if same else None), (same[1] if same else 0.0, [])):
+        if alike is not None:
+            if stepped:
+                _search(groups(*alike, step), features, ids, donors, want, near, dist, lost, (stepped[0], 0.0))
+            _search(groups(*alike), features, ids, donors, want, near, dist, lost, stepped)
     return near, dist
 
 
@@ -215,10 +252,10 @@ def _choose(v: np.ndarray, cid: np.ndarray, dist: np.ndarray, categorical: bool)
     return np.where(any_donor, fill, np.nan), np.where(any_donor, cid[r, pick], -1), np.where(any_donor, dist[r, pick], np.nan)
 
 
-def _measure(block, ids, reporter, year, logv, logg):
-    """Orders of records in which neighbours are likely, and the features of the distance."""
+def _measure(block, ids, reporter, year, logv, logg, ordered=True):
+    """Orders of records in which neighbours are likely, if they are asked for, and the features of the distance."""
     lv, lg, ly = (np.nan_to_num(x, nan=-99.0) for x in (logv, logg, year))
-    orders = [np.lexsort(o) for o in ((ids, lv, ly, reporter, block), (ids, lg, lv, block), (ids, lv, lg, block), (ids, lv, lg, reporter, block))]
+    orders = [np.lexsort(o) for o in ((ids, lv, ly, reporter, block), (ids, lg, lv, block), (ids, lv, lg, block), (ids, lv, lg, reporter, block)) if ordered]
     features = [("same", reporter, 0.5), ("near", year / 10, 0.5), ("near", logv / 3, 2.0), ("near", logg / 3, 4.0)]
     return orders, features
 
@@ -275,38 +312,42 @@ FEATURES = ["id", "reporter", "year", "logv", "logg", "grp", "num", "cat"]
 CANDIDATES = "row bigint, id bigint, grp int, copies bigint, field tinyint, cand array<struct<distance:double,donor_id:bigint,value:double>>"
 
 
-def _shard_kernel(k: int, neighbours: int):
-    """The closest donors in a shard of a large block for each record of the block with a missing value.
+def _shard_kernel(k: int, neighbours: int, block_rows: int):
+    """The closest donors in a shard of a large block, within its bound, for each record with a missing value that asks it.
 
     Rows come in order of good, shard, salt and role: the donors of a shard are held, then records stream past."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def numbers(b: pa.RecordBatch) -> dict[str, np.ndarray]:
             whole = ("id", "reporter", "grp", "row", "copies")
-            return {n: b.column(n).fill_null(-1).to_numpy(zero_copy_only=False) if n in whole else b.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in (*FEATURES, "row", "copies")}
+            return {n: b.column(n).fill_null(-1).to_numpy(zero_copy_only=False) if n in whole else b.column(n).cast(pa.float64()).to_numpy(zero_copy_only=False) for n in (*FEATURES, "row", "copies", "bound")}
 
-        def solve(held: list[dict], r: dict) -> pa.RecordBatch:
+        def solve(held: list[dict], asked: list[dict]) -> pa.RecordBatch:
+            r = {n: np.concatenate([a[n] for a in asked]) for n in (*FEATURES, "row", "copies", "bound")}
             c = {n: np.concatenate([*[h[n] for h in held], r[n]]) for n in FEATURES}
             n, given = len(c["id"]), sum(len(h["id"]) for h in held)
+            bound = np.where(np.isnan(r["bound"]), np.inf, r["bound"])
             block = np.zeros(n, np.int64)
-            orders, features = _measure(block, c["id"], c["reporter"], c["year"], c["logv"], c["logg"])
+            orders, features = _measure(block, c["id"], c["reporter"], c["year"], c["logv"], c["logg"], not np.isfinite(bound).all())
             parts = []
             for f, name in enumerate(("num", "cat")):
                 known = ~np.isnan(c[name])
                 want = np.flatnonzero(~known[given:])
-                near, dist = _neighbours(block, c["id"], features, orders, known & (np.arange(n) < given), want + given, k, neighbours)
-                cand = [[{"distance": x, "donor_id": c["id"][j], "value": c[name][j]} for j, x in zip(*pair) if j >= 0] for pair in zip(near, dist)]
-                parts.append((want, f, cand))
-            at = np.concatenate([w for w, _, _ in parts])
-            field = np.concatenate([np.full(len(w), f, np.int8) for w, f, _ in parts])
-            cand = [x for _, _, c in parts for x in c]
-            kind = pa.list_(pa.struct([("distance", pa.float64()), ("donor_id", pa.int64()), ("value", pa.float64())]))
+                near, dist = _neighbours(block, c["id"], features, orders, known & (np.arange(n) < given), want + given, k, neighbours, bound[want])
+                some = (near[:, 0] >= 0) | np.isinf(bound[want])  # records that come with a bound have an entry
+                want, near, dist = want[some], near[some], dist[some]
+                ok = near >= 0
+                parts.append((want, np.full(len(want), f, np.int8), ok.sum(1), dist[ok], c["id"][near[ok]], c[name][near[ok]]))
+            at, field, size, dist, who, value = (np.concatenate(x) for x in zip(*parts))
+            entries = pa.StructArray.from_arrays([pa.array(dist), pa.array(who), pa.array(value)], names=["distance", "donor_id", "value"])
+            cand = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), entries)
             return pa.RecordBatch.from_arrays(
-                [pa.array(r["row"][at]), pa.array(r["id"][at]), pa.array(r["grp"][at].astype(np.int32)), pa.array(r["copies"][at]), pa.array(field), pa.array(cand, kind)],
+                [pa.array(r["row"][at]), pa.array(r["id"][at]), pa.array(r["grp"][at].astype(np.int32)), pa.array(r["copies"][at]), pa.array(field), cand],
                 names=["row", "id", "grp", "copies", "field", "cand"],
             )
 
         held: list[dict] = []
+        asked: list[dict] = []
         shard = None
         for b in batches:
             if not b.num_rows:
@@ -318,12 +359,19 @@ def _shard_kernel(k: int, neighbours: int):
             cuts = np.r_[0, np.flatnonzero(new), b.num_rows]
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 if (at := (keys[0][lo], keys[1][lo], keys[2][lo])) != shard:
-                    held, shard = [], at
+                    if asked:
+                        yield solve(held, asked)
+                    held, asked, shard = [], [], at
                 part = numbers(b.slice(lo, hi - lo))
                 if keys[3][lo] == 0:
                     held.append(part)
-                else:
-                    yield solve(held, part)
+                    continue
+                asked.append(part)
+                if sum(len(a["id"]) for a in asked) >= block_rows:
+                    yield solve(held, asked)
+                    asked = []
+        if asked:
+            yield solve(held, asked)
 
     return run
 
@@ -331,12 +379,13 @@ def _shard_kernel(k: int, neighbours: int):
 def _chosen(neighbours: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists, fields = b.column("cand").to_pylist(), b.column("field").to_numpy(zero_copy_only=False)
-            v, x, who = np.full((len(lists), neighbours), np.inf), np.full((len(lists), neighbours), np.inf), np.full((len(lists), neighbours), -1, np.int64)
-            for i, cand in enumerate(lists):
-                for j, c in enumerate(cand):
-                    x[i, j], who[i, j], v[i, j] = c["distance"], c["donor_id"], c["value"]
-            fill, donor, far = np.full(len(lists), np.nan), np.full(len(lists), -1, np.int64), np.full(len(lists), np.nan)
+            cand, fields = b.column("cand"), b.column("field").to_numpy(zero_copy_only=False)
+            size, flat = pc.fill_null(pc.list_value_length(cand), 0).to_numpy(zero_copy_only=False), cand.flatten()
+            at = np.repeat(np.arange(len(size)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            v, x, who = np.full((len(size), neighbours), np.inf), np.full((len(size), neighbours), np.inf), np.full((len(size), neighbours), -1, np.int64)
+            for to, name in ((x, "distance"), (who, "donor_id"), (v, "value")):
+                to[at] = pc.struct_field(flat, name).to_numpy(zero_copy_only=False)
+            fill, donor, far = np.full(len(size), np.nan), np.full(len(size), -1, np.int64), np.full(len(size), np.nan)
             for f in (0, 1):
                 at = np.flatnonzero(fields == f)
                 if len(at):
@@ -350,26 +399,67 @@ def _chosen(neighbours: int):
     return run
 
 
-def _shards(donors: DataFrame, block_rows: int) -> DataFrame:
-    """donors with their shard: consecutive bins of the axis, of block_rows donors or up to twice as many; a bin
-    that holds more (one value for many) is split by a hash of the id."""
-    axis = F.coalesce(F.col("logg"), F.col("logv") + AXIS_STEP, F.lit(2 * AXIS_STEP))
-    binned = donors.withColumn("bin", F.floor(axis * AXIS_BINS).cast("bigint"))
-    sizes = binned.groupBy("good", "bin").agg(F.count(F.lit(1)).alias("n"))
+def _by_observed(weighed, valued, both, neither) -> Column:
+    """What holds by the observed ones of gross weight and value: only the first, only the second, both, neither."""
+    g, v = F.col("logg").isNotNull(), F.col("logv").isNotNull()
+    return F.when(g & v, both).when(g, weighed).when(v, valued).otherwise(neither)
+
+
+def _kinds(donors: DataFrame, neighbours: int) -> DataFrame:
+    """donors once for each kind they are of, with what records that ask for this kind can compare, and nothing else.
+
+    Of donors without an order, the first ids of a reporter and year are all that can be kept."""
+    array = lambda *k: F.array(*[F.lit(x) for x in k])
+    ordered = donors.withColumn("kind", F.explode(_by_observed(array(WEIGHED), array(VALUED), array(WEIGHED, BOTH), F.lit(None).cast("array<int>"))))
+    ordered = ordered.withColumn("logg", F.when(F.col("kind") == WEIGHED, F.col("logg")))
+    plain = donors.withColumn("kind", F.explode(_by_observed(array(UNVALUED, ALL), array(UNWEIGHED, ALL), array(ALL), array(NEITHER, UNWEIGHED, UNVALUED, ALL))))
+    nothing = F.lit(None).cast("float")
+    alike = Window.partitionBy("good", "kind", "reporter", "year", F.col("num").isNull(), F.col("cat").isNull()).orderBy("id")
+    plain = plain.withColumns({"logv": nothing, "logg": nothing, "nth": F.row_number().over(alike)}).filter(F.col("nth") <= neighbours).drop("nth")
+    return ordered.unionByName(materialise(plain))
+
+
+def _bin() -> Column:
+    """The place of a row in the order of its kind."""
+    axis = F.when(F.col("kind") == WEIGHED, F.col("logg")).when(F.col("kind") < NEITHER, F.col("logv")).otherwise(0.0)
+    return F.floor(axis * AXIS_BINS).cast("bigint")
+
+
+def _shard(by: Column) -> Column:
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64(by), F.col("parts"))).otherwise(0)
+    return (F.shiftleft(F.col("kind").cast("bigint"), 57) + F.shiftleft("first", 16) + part).alias("shard")
+
+
+def _shards(donors: DataFrame, asking: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """donors with their shard and asking with the shard in whose order it stands. A shard: consecutive bins of
+    one kind, of block_rows donors or up to twice as many; a bin that holds more is split by a hash of the id."""
+    donors = donors.withColumn("bin", _bin())
+    sizes = materialise(donors.groupBy("good", "kind", "bin").agg(F.count(F.lit(1)).alias("n")))
+    has = sizes.groupBy("good").agg(F.bit_or(F.expr("shiftleft(1, kind)")).alias("has"))
+    first = lambda *kinds: F.coalesce(*[F.when(F.col("has").bitwiseAND(1 << k) != 0, F.lit(k)) for k in kinds])
+    home = first(WEIGHED, UNWEIGHED), first(BOTH, VALUED, UNVALUED), first(WEIGHED, VALUED, NEITHER), F.lit(ALL)
+    asking = asking.join(has, "good").withColumn("kind", _by_observed(*home)).drop("has").withColumn("bin", _bin())
+    every = sizes.unionByName(asking.select("good", "kind", "bin").distinct().withColumn("n", F.lit(0).cast("bigint"))).groupBy("good", "kind", "bin").agg(F.sum("n").alias("n"))
+    up = Window.partitionBy("good", "kind").orderBy("bin")
     small = F.when(F.col("n") <= block_rows, F.col("n")).otherwise(0)
-    before = F.coalesce(F.sum(small).over(Window.partitionBy("good").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # a row for each bin of a block: some thousands a block
-    table = materialise(
-        sizes.select("good", "bin", F.when(F.col("n") <= block_rows, F.floor(before / block_rows)).otherwise(F.lit(1 << 40) + F.col("bin")).alias("first"), F.ceil(F.col("n") / block_rows).cast("int").alias("parts"))
+    before = F.coalesce(F.sum(small).over(up.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.struct(
+        F.when(F.col("n") <= block_rows, F.floor(before / block_rows)).otherwise(F.lit(1 << 40) + F.col("bin")).alias("first"), F.ceil(F.col("n") / block_rows).cast("int").alias("parts")
     )
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(0)
-    return binned.join(table, ["good", "bin"]).select("good", (F.shiftleft("first", 16) + part).alias("shard"), *FEATURES)
+    # bins without donors belong to the shard before them, or to the first
+    own = every.withColumn("own", F.when(F.col("n") > 0, place))
+    nearest = F.coalesce(F.last("own", True).over(up.rowsBetween(Window.unboundedPreceding, 0)), F.first("own", True).over(up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    # a row for each bin of a block: some thousands a block
+    table = materialise(own.withColumn("own", nearest).select("good", "kind", "bin", "own.first", "own.parts"))
+    of = ["good", "kind", "bin"]
+    return donors.join(table, of).select("good", "kind", _shard(F.col("id")), *FEATURES), asking.join(table, of).select("good", _shard(F.col("row")), *FEATURES, "row", "copies")
 
 
 def _boxes(placed: DataFrame) -> DataFrame:
-    """(good, shard, range of each feature that all its donors have, reporters as bits of a hash)."""
+    """(good, kind, shard, range of each feature that all its donors have, whether any has it, reporters as bits of a hash)."""
     span = lambda c: [F.when(F.count(c) == F.count(F.lit(1)), f(c)).cast("double").alias(f"{n}_{c}") for n, f in (("lo", F.min), ("hi", F.max))]
-    return placed.groupBy("good", "shard").agg(*span("year"), *span("logv"), *span("logg"), F.bit_or(_bit()).alias("reporters"))
+    some = [(F.count(c) > 0).alias(f"some_{c}") for c in ("year", "logv", "logg")]
+    return placed.groupBy("good", "kind", "shard").agg(*span("year"), *span("logv"), *span("logg"), *some, F.bit_or(_bit()).alias("reporters"))
 
 
 def _bit() -> Column:
@@ -384,34 +474,34 @@ def _least() -> Column:
         gap = F.greatest(F.lit(0.0), F.col(f"lo_{c}") - a, a - F.col(f"hi_{c}")) / scale
         known = a.isNotNull() & F.col(f"lo_{c}").isNotNull()
         total = total + F.when(known, F.least(gap, F.lit(1.0)) * w).otherwise(0.0)
-        weight = weight + F.when(a.isNotNull(), w).otherwise(0.0)
+        weight = weight + F.when(a.isNotNull() & F.col(f"some_{c}"), w).otherwise(0.0)
     return total / weight
 
 
-def _search_shards(placed: DataFrame, asks: DataFrame, k: int, neighbours: int) -> DataFrame:
-    """CANDIDATES of the records in asks, each in the shard it asks."""
+def _search_shards(placed: DataFrame, asks: DataFrame, k: int, neighbours: int, block_rows: int) -> DataFrame:
+    """CANDIDATES of the records in asks, each in the shard it asks and within its bound, if it has one."""
     crowded = materialise(asks.groupBy("good", "shard").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("salts")).filter("salts > 1"))  # a row for every ASKED records at most
     donors = placed.join(crowded, ["good", "shard"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-    donors = donors.select("good", "shard", "salt", F.lit(0).alias("role"), *FEATURES, F.lit(0).cast("bigint").alias("row"), F.lit(1).cast("bigint").alias("copies"))
+    donors = donors.select("good", "shard", "salt", F.lit(0).alias("role"), *FEATURES, F.lit(0).cast("bigint").alias("row"), F.lit(1).cast("bigint").alias("copies"), F.lit(None).cast("double").alias("bound"))
     asking = asks.join(crowded, ["good", "shard"], "left").withColumn("salt", F.pmod(F.xxhash64("row"), F.coalesce("salts", F.lit(1))).cast("int"))
-    asking = asking.select("good", "shard", "salt", F.lit(1).alias("role"), *FEATURES, "row", "copies")
+    asking = asking.select("good", "shard", "salt", F.lit(1).alias("role"), *FEATURES, "row", "copies", "bound")
     both = donors.unionByName(asking).repartition("good", "shard", "salt").sortWithinPartitions("good", "shard", "salt", "role")
-    return both.mapInArrow(_shard_kernel(k, neighbours), CANDIDATES)
+    return both.mapInArrow(_shard_kernel(k, neighbours, block_rows), CANDIDATES)
 
 
 def _split_blocks(rows: DataFrame, block_rows: int, k: int, neighbours: int) -> DataFrame:
     """RESULT of the blocks whose donors are cut into shards."""
-    placed = materialise(_shards(rows.filter("num is not null or cat is not null"), block_rows))
+    asking = materialise(rows.filter("num is null or cat is null").groupBy("good", *FEATURES).agg(F.count(F.lit(1)).alias("copies")).withColumn("row", F.xxhash64("good", *FEATURES)))
+    placed, home = map(materialise, _shards(_kinds(rows.filter("num is not null or cat is not null"), neighbours), asking, block_rows))
     boxes = materialise(_boxes(placed))
-    asking = rows.filter("num is null or cat is null").groupBy("good", *FEATURES).agg(F.count(F.lit(1)).alias("copies")).withColumn("row", F.xxhash64("good", *FEATURES))
-    # Records meet the boxes of their block, not its donors; a block has one box for every block_rows of them.
-    near = asking.join(boxes, "good").withColumn("least", _least())
-    home = materialise(near.groupBy(*asking.columns).agg(F.min_by("shard", F.struct("least", "shard")).alias("shard")))
-    first = materialise(_search_shards(placed, home, k, neighbours))
+    first = materialise(_search_shards(placed, home.withColumn("bound", F.lit(None).cast("double")), k, neighbours, block_rows))
     kept = F.when(F.size("cand") >= neighbours, F.element_at("cand", neighbours)["distance"]).otherwise(float("inf"))
     bound = first.groupBy("row").agg(F.max(kept).alias("bound"))
-    again = home.withColumnRenamed("shard", "home").join(bound, "row").join(boxes, "good").filter(F.col("shard") != F.col("home")).filter(_least() <= F.col("bound") + 1e-6)
-    found = first.unionByName(_search_shards(placed, again.select("good", "shard", *FEATURES, "row", "copies"), k, neighbours))
+    # Records meet the boxes of their block, not its donors; a block has about two boxes for every block_rows of them.
+    bits = [F.lit(sum(1 << k for k in kinds)) for kinds in ((WEIGHED, UNWEIGHED), (BOTH, VALUED, UNVALUED), (WEIGHED, VALUED, NEITHER), (ALL,))]
+    asked = home.withColumnRenamed("shard", "home").join(bound, "row").withColumn("kinds", _by_observed(*bits))
+    again = asked.join(boxes, "good").filter(F.expr("(kinds & shiftleft(1, kind)) != 0") & (F.col("shard") != F.col("home"))).filter(_least() <= F.col("bound") + 1e-6)
+    found = first.unionByName(_search_shards(placed, again.select("good", "shard", *FEATURES, "row", "copies", "bound"), k, neighbours, block_rows))
     best = found.groupBy("row", "id", "grp", "copies", "field").agg(F.slice(F.array_sort(F.flatten(F.collect_list("cand"))), 1, neighbours).alias("cand"))
     out = best.mapInArrow(_chosen(neighbours), f"{RESULT}, copies bigint")
     alone = rows.filter("num is null or cat is null").join(boxes.select("good").distinct(), "good", "left_anti")  # blocks without any donor

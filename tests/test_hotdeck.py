@@ -143,6 +143,34 @@ def test_split_blocks_of_one_value_and_without_donors(spark):
     assert len(whole) == 251 + 500 + 600 and every(block_rows=50) == whole
 
 
+def test_work_a_record_does_not_grow_with_the_block(spark, monkeypatch):
+    """A shard of a very large block is narrow in gross weight, which then tells nothing: few of its donors may be looked at."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    reporter, year = np.where(rng.random(n) < 0.9, 1, rng.integers(2, 50, n)), rng.integers(2012, 2022, n).astype(float)
+    _, features = hotdeck._measure(np.zeros(n, int), np.arange(n), reporter, year, rng.normal(5, 0.2, n), rng.uniform(5, 5.003, n))
+    orders, _ = hotdeck._measure(np.zeros(n, int), np.arange(n), reporter, year, features[2][1] * 3, features[3][1] * 3)
+    pairs, distance = [], hotdeck._distance
+    monkeypatch.setattr(hotdeck, "_distance", lambda f, r, d: pairs.append(len(r)) or distance(f, r, d))
+    donor = np.arange(n) >= 500
+    near, dist = _neighbours(np.zeros(n, int), np.arange(n), features, orders, donor, np.arange(500), 3, 5)
+    assert sum(pairs) < 300 * 500
+    for w in range(0, 500, 50):
+        x = distance(features, np.full(n - 500, w), np.arange(500, n))
+        assert np.array_equal(np.sort(x)[:5], dist[w])
+
+
+def test_few_shards_are_asked(spark, monkeypatch):
+    """Records without gross weight ask the shards about their value, not all those in order of gross weight."""
+    rng = np.random.default_rng(11)
+    value = rng.lognormal(5, 0.5, 8000)
+    rows = [row(i, None if i % 10 == 0 else float(v), value=float(v), gross=None if i % 4 == 0 else float(v * rng.lognormal(0, 0.16)), year=str(2015 + i % 3)) for i, v in enumerate(value)]
+    asked, search = [], hotdeck._search_shards
+    monkeypatch.setattr(hotdeck, "_search_shards", lambda placed, asks, *a: asked.append(asks.count()) or search(placed, asks, *a))
+    got = fills(spark, rows, block_rows=200)
+    assert len(got) == 800 and asked[0] == 800 and asked[1] < 5 * 800
+
+
 def test_recall_on_the_tables_is_one(spark):
     """All five closest donors of records of the real table, in shards, against a full comparison."""
     t = spark.read.parquet(f"{DATA.replace('0.001', '0.01')}/declarations.parquet").filter("cmdCode is not null")
